@@ -56,6 +56,28 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        coalesce(sum(upto) FILTER (role = 'assistant' OR back = 1), 0)::BIGINT AS formatted_chars
 FROM placed GROUP BY conv_id"""
 
+OP7 = r"""
+WITH parts AS (
+  SELECT page_id, url, md5(coalesce(html, '')) AS tag,
+         lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+         translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*(\?[^#]*)', 1) AS query
+  FROM pages),
+p AS (
+  SELECT page_id, url, tag, coalesce(scheme || '://' || CASE WHEN scheme = 'https' THEN regexp_replace(host, ':443$', '') ELSE regexp_replace(host, ':80$', '') END
+    || CASE WHEN path = '' THEN '/' ELSE path END || query, '') AS key FROM parts),
+r AS (SELECT page_id, key, tag, page_id::HUGEINT * 1000000000000 + 2 * page_id AS place FROM p),
+v AS (
+  SELECT page_id, key, url, CASE WHEN page_id % 7 = 3 THEN 'other' ELSE 'W/' || tag END AS tag,
+         CASE WHEN page_id % 11 = 5 THEN page_id - 1 ELSE page_id + 2000 END AS ts FROM p),
+j AS (
+  SELECT v.*, r.page_id AS found, CASE WHEN r.page_id IS NULL THEN 'missing' WHEN regexp_replace(v.tag, '^W/', '') <> r.tag THEN 'mismatch' ELSE 'resolved' END AS outcome
+  FROM v ASOF LEFT JOIN r ON v.key = r.key AND v.ts::HUGEINT * 1000000000000 + 2 * v.page_id + 1 > r.place)
+SELECT 2 * page_id + 1 AS record_id, url, ts, 2 * found AS response_id, outcome,
+       CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=600' || chr(10) || 'content-type: text/html' || chr(10) || 'etag: ' || tag || chr(10) || 'last-modified: day ' || (found % 365)
+            ELSE 'cache-control: max-age=600' || chr(10) || 'content-length: 0' || chr(10) || 'etag: ' || tag END AS headers
+FROM j"""
+
 OP10 = f"""
 WITH sizes AS (
   SELECT doc_id, source, {WORDS} AS size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
@@ -79,4 +101,4 @@ CROSS JOIN LATERAL (SELECT p.target - p.copies * p.source_size AS budget) b"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": _op5(), "op8_chat_prefix_targets": OP8, "op10_source_mixing": OP10}
+    return {"op5_url_filters": _op5(), "op7_warc_revisits": OP7, "op8_chat_prefix_targets": OP8, "op10_source_mixing": OP10}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, mixing, pieces, urlfilter
+from . import chat, mixing, pieces, quality, revisits, toxicity, urlfilter
 from .common import read
 
 #: The rules for pages, as (verdict, host, path).
@@ -15,11 +16,45 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
 URL_BLOCKED = ["*spam*/**", "*cheap-pills*/**", "*casino*/**", "**/login**", "**/cart**", "**.exe", "**.zip"]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held = (F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0).alias("held_out")
+    labels = read(spark, sf_dir, "labels").where(F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").alias("label"), held).where(~F.col("held_out"))
+    # The bound holds on the labels already, before texts are read: so few ids may be broadcast.
+    first = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "label").limit(toxicity.MOST)
+    model = toxicity.fit(docs.join(F.broadcast(first), "doc_id").select("text", "label", F.col("doc_id").alias("key")))
+    return toxicity.score(docs.select("doc_id", held, "text"), model).select("doc_id", "held_out", "score", "predicted", "hits")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    counted = quality.kept_counts(docs)
+    return quality.judge(counted).select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance").drop("lang", "source")
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return urlfilter.judge(pages, URL_RULES, URL_BLOCKED).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page is captured in full and, 2000 ticks later, answered as not modified.
+
+    Every seventh such answer has another entity tag, every eleventh comes before its capture.
+    """
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", F.md5(F.coalesce("html", F.lit("")).cast("binary")).alias("tag"))
+    date = F.concat(F.lit("day "), (F.col("page_id") % 365).cast("string"))
+    full = F.create_map(F.lit("etag"), "tag", F.lit("last-modified"), date, F.lit("content-type"), F.lit("text/html"), F.lit("cache-control"), F.lit("max-age=60"))
+    tag = F.when(F.col("page_id") % 7 == 3, "other").otherwise(F.concat(F.lit("W/"), F.col("tag")))
+    again = F.create_map(F.lit("etag"), tag, F.lit("cache-control"), F.lit("max-age=600"), F.lit("content-length"), F.lit("0"))
+    records = pages.select((2 * F.col("page_id")).alias("record_id"), F.lit("response").alias("kind"), "url", F.col("page_id").alias("ts"), full.alias("headers")).unionByName(
+        pages.select((2 * F.col("page_id") + 1).alias("record_id"), F.lit("revisit").alias("kind"), "url", F.when(F.col("page_id") % 11 == 5, F.col("page_id") - 1).otherwise(F.col("page_id") + 2000).alias("ts"), again.alias("headers"))
+    )
+    out = revisits.resolve(records)
+    joined = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
+    return out.select("record_id", "url", "ts", "response_id", "outcome", joined.alias("headers"))
+
+
 def op8_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -38,4 +73,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_url_filters, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op4_quality_rules, op5_url_filters, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing)}
