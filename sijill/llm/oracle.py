@@ -73,7 +73,7 @@ v AS (
 j AS (
   SELECT v.*, r.page_id AS found, CASE WHEN r.page_id IS NULL THEN 'missing' WHEN regexp_replace(v.tag, '^W/', '') <> r.tag THEN 'mismatch' ELSE 'resolved' END AS outcome
   FROM v ASOF LEFT JOIN r ON v.key = r.key AND v.ts::HUGEINT * 1000000000000 + 2 * v.page_id + 1 > r.place)
-SELECT 2 * page_id + 1 AS record_id, url, ts, 2 * found AS response_id, outcome,
+SELECT 2 * page_id + 1 AS record_id, url, ts, coalesce(2 * found, -1) AS response_id, outcome,
        CASE WHEN outcome = 'resolved' THEN 'cache-control: max-age=600' || chr(10) || 'content-type: text/html' || chr(10) || 'etag: ' || tag || chr(10) || 'last-modified: day ' || (found % 365)
             ELSE 'cache-control: max-age=600' || chr(10) || 'content-length: 0' || chr(10) || 'etag: ' || tag END AS headers
 FROM j"""

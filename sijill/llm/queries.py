@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pieces, quality, revisits, toxicity, urlfilter
+from . import chat, mixing, passages, pieces, quality, revisits, toxicity, urlfilter
 from .common import read
 
 #: The rules for pages, as (verdict, host, path).
@@ -26,6 +26,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held, "text"), model).select("doc_id", "held_out", "score", "predicted", "hits")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     counted = quality.kept_counts(docs)
@@ -52,7 +56,7 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = revisits.resolve(records)
     joined = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
-    return out.select("record_id", "url", "ts", "response_id", "outcome", joined.alias("headers"))
+    return out.select("record_id", "url", "ts", F.coalesce("response_id", F.lit(-1)).alias("response_id"), "outcome", joined.alias("headers"))
 
 
 def op8_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +77,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op4_quality_rules, op5_url_filters, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op3_substring_dedup, op4_quality_rules, op5_url_filters, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing)}
