@@ -88,6 +88,7 @@ def chi_square_limit(tail: float, k: int) -> float:
 
 def _vector() -> list[Column]:
     n = F.col("n_words").cast("double")
+    n = F.greatest(n, F.lit(1.0))
     return [F.col("word_chars") / n, F.log1p(100 * F.col("n_symbols") / n), F.log1p(100 * F.col("n_dup_lines") / n), F.col("n_repeat_words") / n]
 
 
@@ -153,16 +154,21 @@ def robust_fit(rows: DataFrame, share: float = 0.75, steps: int = 3) -> DataFram
     return _step(rows, fit, 0.975 / chi_square_cdf(cut, P + 2), limit=cut)
 
 
-def judge(counted: DataFrame, tail: float = 1e-9, least: int = 30) -> DataFrame:
-    """``counted`` (see :func:`with_counts`) with distance and kept."""
-    rows = counted.withColumns({f"x{i}": x for i, x in enumerate(_vector())}).withColumns({f"g{i}": g for i, g in enumerate(_groups())})
-    sound = rows.where(~F.col("base_failed"))
+def estimates(counted: DataFrame, least: int = 30) -> DataFrame:
+    """g0 (the key of language and source), centre, inverse: each group's own fit, or the wider one it falls back to. counted: see :func:`kept_counts`."""
+    sound = _keyed(counted).where(~F.col("base_failed"))
     fit = robust_fit(sound.select(F.explode(F.array("g0", "g1", "g2")).alias("group"), *(f"x{i}" for i in range(P)))).where(F.col("n") >= least)
     keys = sound.select("g0", "g1", "g2").distinct()
-    one = F.struct("centre", "inverse")
     for i in range(3):
-        keys = keys.join(fit.select(F.col("group").alias(f"g{i}"), one.alias(f"fit{i}")), f"g{i}", "left")
-    chosen = kept(keys.select("g0", F.coalesce("fit0", "fit1", "fit2").alias("fit")).select("g0", "fit.*"), "mcd-chosen")
-    limit = chi_square_limit(tail, P)
-    out = rows.join(chosen, "g0", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
-    return out.select(*counted.columns, "distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)).alias("kept"))
+        keys = keys.join(fit.select(F.col("group").alias(f"g{i}"), F.struct("centre", "inverse").alias(f"fit{i}")), f"g{i}", "left")
+    return kept(keys.select("g0", F.coalesce("fit0", "fit1", "fit2").alias("fit")).select("g0", "fit.*"), "mcd-chosen")
+
+
+def _keyed(counted: DataFrame) -> DataFrame:
+    return counted.withColumns({f"x{i}": x for i, x in enumerate(_vector())}).withColumns({f"g{i}": g for i, g in enumerate(_groups())})
+
+
+def judge(counted: DataFrame, fits: DataFrame, tail: float = 1e-9) -> DataFrame:
+    """``counted`` (see :func:`with_counts`) with distance and kept."""
+    out = _keyed(counted).join(fits, "g0", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    return out.select(*counted.columns, "distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi_square_limit(tail, P))).alias("kept"))

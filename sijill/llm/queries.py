@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, passages, pieces, quality, revisits, toxicity, urlfilter
+from . import chat, jaccard, mixing, passages, pieces, quality, revisits, toxicity, urlfilter
 from .common import read
 
 #: The rules for pages, as (verdict, host, path).
@@ -33,7 +33,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     counted = quality.kept_counts(docs)
-    return quality.judge(counted).select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance").drop("lang", "source")
+    return quality.judge(counted, quality.estimates(counted)).select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, URL_RULES, URL_BLOCKED).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return jaccard.join(docs, width=4, percent=85).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page is captured in full and, 2000 ticks later, answered as not modified.
 
@@ -77,4 +82,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_substring_dedup, op4_quality_rules, op5_url_filters, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op3_substring_dedup, op4_quality_rules, op5_url_filters, op6_jaccard_join, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing)}
