@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ ALEFS = "أإآ"
 ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used: else its expression is copied into every use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     """White space collapsed to single spaces and stripped."""
     return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
