@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -50,5 +51,11 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def settle(spark: SparkSession) -> None:
+    """Lets the cluster drop shuffle files that only finished steps needed: it does so when the driver's references are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

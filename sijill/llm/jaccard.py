@@ -8,13 +8,16 @@ hashes are dealt into slightly more parts than two linked sets can differ in ele
 and by the pigeonhole principle two linked sets agree on a part that isn't empty. Texts
 that share a part's signature are a region; its smallest class is the region's pivot.
 
-Within a region distances to the pivot are computed exactly. What lies within the link
-distance is the pivot's cell: it is linked through the pivot and its pairs need no test.
-The rest is joined recursively: up to ``PIVOTS`` further pivots are drawn from the rest,
-and meet only the region's members in another component whose distance to the first
-pivot lies in the triangle window |d(x, p) - d(y, p)| <= link distance, boundary members
-of the pivot's cell included. A region is done when one component, or no pair, is left.
-No pair that could link two components goes untested, so components are exact.
+Every member of a region is measured against the pivot p. What lies within the link
+distance is the pivot's cell, linked through it. The rest is joined, with the cell's
+boundary, in differences to the pivot: A ^ B = (A ^ p) ^ (B ^ p), so by the triangle
+inequality members that differ from p in k elements, and others, link only if the
+differences themselves agree enough. What p explains is gone from them, so a hot region
+of texts alike in p falls apart. Members meet by the leading elements of their
+differences (those outside p first), twice as many for the member farther from p, and
+only those of other components; a pair is measured if it shares as many leading
+elements as a link needs. No pair that could link two components goes untested, so
+components are exact.
 
 Equal sets are one class and travel as one; a group of copies is never expanded. Texts
 are fetched only for classes in a region with another class, found by a bit table of
@@ -33,13 +36,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import kept, settle
 from .wordhash import in_steps, mixed, spans, words
 
-PIVOTS = 32
 #: Bits of a table that stands in for a set of ids in a first pass; two places an id.
 BITS = 2**25
 LAST = 2**63 - 1
@@ -74,9 +75,8 @@ class Scheme:
     @lru_cache(maxsize=4096)
     def differ(self, c: int) -> int:
         """Most elements in which linked sets differ, one of size class c, the other no smaller."""
-        x, p = int(self.low[c + 1]) - 1, self.percent
-        most = x + x * 100 // p
-        return most * (100 - p) // (100 + p)
+        x = int(self.low[c + 1]) - 1
+        return most_differ(x + x * 100 // self.percent, self.percent)
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         if not len(s):
@@ -124,38 +124,45 @@ def classes(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, class long")
 
 
-def _regions(docs: DataFrame, width: int, scheme: Scheme) -> DataFrame:
+def _regions(docs: DataFrame, named: DataFrame, width: int, scheme: Scheme) -> DataFrame:
     """region, class: every signature that several classes have, with those classes."""
     spark = docs.sparkSession
+    own = spark.sparkContext.broadcast(_table(named.select("id")))
 
-    def emitted(bits=None):
+    def emitted(own, bits=None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
+                b = b.filter(pa.array(_held(own.value, b.column(0).to_numpy(zero_copy_only=False))))
                 for _, part in in_steps(b.column(1).to_pylist()):
                     sets = sets_of(part, width)
                     marks = [scheme.signatures(s) for s in sets]
-                    own = np.repeat(np.fromiter(map(_class, sets), np.int64, len(sets)), list(map(len, marks)))
+                    cls = np.repeat(np.fromiter(map(_class, sets), np.int64, len(sets)), list(map(len, marks)))
                     mark = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
                     if bits is not None:
-                        table = bits.value.view(np.uint64)
-                        there = np.ones(len(mark), bool)
-                        for x in _places(mark):
-                            there &= (table[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) == 1
-                        mark, own = mark[there], own[there]
-                    yield pa.RecordBatch.from_arrays([pa.array(mark.view(np.int64)), pa.array(own)], names=["region", "class"])
+                        there = _held(bits.value, mark)
+                        mark, cls = mark[there], cls[there]
+                    yield pa.RecordBatch.from_arrays([pa.array(mark.view(np.int64)), pa.array(cls)], names=["region", "class"])
 
-        return docs.mapInArrow(run, "region long, class long")
+        return docs.where("id is not null").mapInArrow(run, "region long, class long")
 
-    spread = emitted().groupBy("region").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a < b").select("region")
-    shared = kept(spread, "jaccard-shared")
-    bits = spark.sparkContext.broadcast(_table(shared))
-    return kept(emitted(bits).join(shared, "region").distinct(), "jaccard-regions")
+    # A class is to count once here: of a group of copies, the first document speaks, and only copies that the table can't tell from it.
+    shared = kept(emitted(own).groupBy("region").count().where("count > 1").select("region"), "jaccard-shared")
+    settle(spark)
+    return kept(emitted(own, spark.sparkContext.broadcast(_table(shared))).join(shared, "region").distinct(), "jaccard-regions")
 
 
 def _places(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed(x) % np.uint64(BITS), mixed(x ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(BITS)
 
 
+def _held(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids the table may hold."""
+    out = np.ones(len(ids), bool)
+    for x in _places(ids.view(np.uint64)):
+        out &= (table.view(np.uint64)[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) == 1
+    return out
+
+
 def _table(ids: DataFrame) -> np.ndarray:
     """A table of BITS bits with two set for each id (long, the only column). The driver gets its set words only, so a bounded number of rows."""
 
@@ -180,20 +187,16 @@ def _texts(docs: DataFrame, named: DataFrame, ids: DataFrame) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(_table(ids.join(named, "class").select("id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value.view(np.uint64)
         for b in batches:
-            there = np.ones(b.num_rows, bool)
-            for x in _places(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
-                there &= (table[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) == 1
-            yield b.filter(pa.array(there))
+            yield b.filter(pa.array(_held(bits.value, b.column(0).to_numpy(zero_copy_only=False))))
 
     near = docs.where("id is not null").mapInArrow(run, "id long, text string")
     return kept(near.join(ids.join(named, "class"), "id").dropDuplicates(["class"]).select("class", "text"), "jaccard-texts")
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """a, b, distance, shared, all (sizes of intersection and union) of each pair."""
-    rows = pairs.join(texts.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+def _paired(pairs: DataFrame, texts: DataFrame, width: int, what, schema: str) -> DataFrame:
+    """``what(a, b, set of a, set of b)`` of each pair of classes, as rows of ``schema``."""
+    rows = pairs.select("a", "b").join(texts.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -201,25 +204,67 @@ def _measured(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             for at in range(0, batch.num_rows, 200):
                 b = batch.slice(at, 200)
                 a_s, b_s = b.column(0).to_pylist(), b.column(1).to_pylist()
-                new = {c: i for i, c in enumerate(a_s) if c not in held}
-                texts = [b.column(2)[i].as_py() for i in new.values()] + b.column(3).to_pylist()
-                sets: list[np.ndarray] = [s for _, part in in_steps(texts) for s in sets_of(part, width)]
                 if len(held) > 64:
                     held = {c: held[c] for c in set(a_s) if c in held}
+                new = {c: i for i, c in enumerate(a_s) if c not in held}
+                found = [b.column(2)[i].as_py() for i in new.values()] + b.column(3).to_pylist()
+                sets: list[np.ndarray] = [s for _, part in in_steps(found) for s in sets_of(part, width)]
                 held |= dict(zip(new, sets, strict=False))
-                others = sets[len(new) :]
-                both = [len(np.intersect1d(held[c], s, assume_unique=True)) for c, s in zip(a_s, others, strict=True)]
-                every = [len(held[c]) + len(s) - n for c, s, n in zip(a_s, others, both, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64()), pa.array(every, pa.int64())], names=["a", "b", "shared", "all"])
+                out = [np.array(x, np.int64).reshape(-1, len(names)) for x in (what(c, d, held[c], s) for c, d, s in zip(a_s, b_s, sets[len(new) :], strict=True))]
+                yield pa.RecordBatch.from_arrays([pa.array(col) for col in np.concatenate(out).T], names=names)
+
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+    return rows.mapInArrow(run, schema)
+
+
+def _measured(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """a, b, shared, whole (sizes of intersection and union) of each pair."""
 
-    found = rows.mapInArrow(run, "a long, b long, shared long, all long")
-    return found.withColumn("distance", 1 - F.col("shared") / F.col("all"))
+    def sizes(a: int, b: int, p: np.ndarray, s: np.ndarray) -> list[int]:
+        shared = len(np.intersect1d(p, s, assume_unique=True))
+        return [a, b, shared, len(p) + len(s) - shared]
+
+    return _paired(pairs, texts, width, sizes, "a long, b long, shared long, whole long")
+
+
+def _differences(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The leading elements of the differences of members b to a pivot a: region (pivot and element), pivot, class, n (size of the set), d (of the difference), near (whether the element is in the half that nearer members need)."""
+
+    def lead(a: int, b: int, p: np.ndarray, s: np.ndarray) -> np.ndarray:
+        bound = most_differ(len(s) + len(s) * 100 // percent, percent)
+        d = np.concatenate([np.setdiff1d(s, p, assume_unique=True), np.setdiff1d(p, s, assume_unique=True)])
+        own = d[: bound + 1]
+        region = mixed(own ^ mixed(np.array([a]).view(np.uint64))).view(np.int64)
+        fixed = [np.full(len(own), x) for x in (a, b, len(s), len(d))]
+        return np.stack([region, *fixed, np.arange(len(own)) <= bound // 2], axis=1)
+
+    return _paired(pairs, texts, width, lead, "region long, pivot long, class long, n long, d long, near long")
+
+
+def most_differ(sizes: int, percent: int) -> int:
+    """Most elements in which linked sets of these sizes together differ."""
+    return sizes * (100 - percent) // (100 + percent)
+
+
+def _candidates(found: DataFrame, named_by: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of different components that share as many leading elements as a link needs."""
+    placed = found.join(named_by, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    shared = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("near").alias("some")).where("low < high and some = 1").select("region")
+    placed = kept(placed.join(shared, "region"), "jaccard-members")
+    x, y = placed.alias("x"), placed.where("near = 1").alias("y")
+    met = x.join(y, "region").where("x.component <> y.component and (x.d > y.d or (x.d = y.d and x.class > y.class)) and 100 * least(x.n, y.n) >= %d * greatest(x.n, y.n)" % percent)
+    bound = lambda n: F.expr(f"cast(floor(({n} + floor({n} * 100 / {percent})) * {100 - percent} / {100 + percent}) as long)")
+    both = F.expr(f"cast(floor((x.n + y.n) * {100 - percent} / {100 + percent}) as long)")
+    agree = F.ceil((F.col("x.d") + F.col("y.d") - both) / 2)
+    hidden = F.greatest(F.col("x.d") - bound("x.n") - 1, F.col("y.d") - F.floor(bound("y.n") / 2) - 1, F.lit(0))
+    count = met.groupBy("x.pivot", F.col("x.class").alias("a"), F.col("y.class").alias("b")).agg(F.count("*").alias("met"), F.first(agree - hidden).alias("needed"))
+    return count.where("met >= needed").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """class, component of linked classes: the least class by minimum labels and pointer jumps."""
     both = kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "jaccard-links")
-    labels = kept(both.groupBy(F.col("a").alias("class")).agg(F.least(F.first("a"), F.min("b")).alias("component")), "jaccard-labels")
+    labels = kept(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("class"), F.least("a", "b").alias("component")), "jaccard-labels")
     while True:
         heard = both.join(labels.withColumnRenamed("class", "b"), "b").groupBy(F.col("a").alias("class")).agg(F.min("component").alias("heard"))
         near = labels.join(heard, "class").select("class", F.least("component", "heard").alias("near"), F.col("component").alias("was"))
@@ -234,34 +279,23 @@ def join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """id, n, class, component: the least id that links lead to (the id itself without any). docs: id, text."""
     own = kept(classes(docs, width), "jaccard-classes")
     named = own.where("class <> 0").groupBy("class").agg(F.min("id").alias("id")).where("id is not null")
-    scheme, limit = Scheme(percent), 1 - percent / 100 + 1e-9
-    regions = _regions(docs, width, scheme)
+    regions = _regions(docs, named, width, Scheme(percent))
     texts = _texts(docs, named, regions.select("class").distinct())
-    first = regions.groupBy("region").agg(F.min("class").alias("pivot"), F.count("*").alias("size"))
-    led = regions.join(first, "region").where("class <> pivot")
-    star = kept(_measured(led.select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct(), texts, width), "jaccard-star")
-    linked = (100 * F.col("shared")) >= (percent * F.col("all"))
-    links = star.where(linked).select("a", "b")
+    linked = 100 * F.col("shared") >= percent * F.col("whole")
+    # The class that shares most is nearest to the middle of its likes: as a pivot it explains most of them.
+    sizes = regions.groupBy("region").agg(F.count("*").alias("size"))
+    order = kept(regions.join(sizes, "region").groupBy("class").agg(F.sum("size").alias("degree")), "jaccard-order")
+    first = regions.join(order, "class").groupBy("region").agg(F.max_by("class", F.struct("degree", "class")).alias("pivot"))
+    pairs = kept(regions.join(first, "region").where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct(), "jaccard-pairs")
+    links = kept(_measured(pairs, texts, width).where(linked).select("a", "b"), "jaccard-links")
     named_by = components(links)
-    # What the pivot's cell does not hold: region, class, distance to the pivot.
-    rest = kept(led.where("size > 2").join(star.select(F.col("a").alias("pivot"), F.col("b").alias("class"), "distance"), ["pivot", "class"]).select("region", "class", "distance"), "jaccard-rest")
-    while True:
-        member = rest.join(named_by, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        several = member.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by("component", "distance").alias("cell")).where("low < high")
-        member = member.join(several.select("region", "cell"), "region")
-        inner = (F.col("component") == F.col("cell")).cast("int")
-        rank = F.row_number().over(W.partitionBy("region").orderBy(inner, "class"))
-        member = kept(member.withColumn("rank", rank), "jaccard-rest")
-        if member.isEmpty():
-            break
-        pivot = member.where(F.col("rank") <= PIVOTS).select("region", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("distance").alias("da"), F.col("rank").alias("ra"))
-        pairs = member.join(pivot, "region").where((F.col("rank") > F.col("ra")) & (F.col("component") != F.col("ca")) & (F.abs(F.col("distance") - F.col("da")) <= limit))
-        pairs = pairs.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
-        found = kept(_measured(pairs, texts, width).where(linked).select("a", "b"), "jaccard-found")
-        rest = member.where(F.col("rank") > PIVOTS).select("region", "class", "distance")
-        if not found.isEmpty():
-            links = kept(links.unionByName(found), "jaccard-found")
-            named_by = components(links)
+    settle(docs.sparkSession)
+    placed = pairs.join(named_by.select(F.col("class").alias("b"), "component"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    several = placed.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("a")
+    rest = kept(_differences(placed.join(several, "a"), texts, width, percent), "jaccard-rest")
+    more = kept(_measured(kept(_candidates(rest, named_by, percent), "jaccard-pairs"), texts, width).where(linked).select("a", "b"), "jaccard-links")
+    if not more.isEmpty():
+        named_by = components(links.unionByName(more))
     whole = named.join(named_by, "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = whole.groupBy("component").agg(F.min("id").alias("least"))
     final = whole.join(least, "component").select("class", "least")
