@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, passages, pieces, quality, revisits, toxicity, urlfilter
+from . import chat, jaccard, mixing, passages, pieces, quality, revisits, search, toxicity, urlfilter
 from .common import read
 
 #: The rules for pages, as (verdict, host, path).
@@ -26,6 +26,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held, "text"), model).select("doc_id", "held_out", "score", "predicted", "hits")
 
 
+def op2_bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id 20 divides, as a query against all documents, itself included."""
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return search.top_k(docs, docs.where("id % 20 = 0"), k=10).select(F.col("query").alias("query_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -82,4 +88,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_substring_dedup, op4_quality_rules, op5_url_filters, op6_jaccard_join, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_bm25_top_k, op3_substring_dedup, op4_quality_rules, op5_url_filters, op6_jaccard_join, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing)}
