@@ -266,7 +266,8 @@ def fit(labelled: DataFrame, most: int = MOST, ridge: float = 1.0) -> Model:
             words = sorted(set(words_of(text)))
             heard.update(w for w, e in zip(words, plain.edits(words), strict=True) if e == 1)
     lexicon = Lexicon(stems, frozenset(w for w, n in heard.items() if n >= 2))
-    x, y = features(lexicon, [t for t, _ in rows]), np.array([label for _, label in rows], float)
+    x = np.concatenate([features(lexicon, [t for t, _ in rows[at : at + 200]]) for at in range(0, len(rows), 200)])
+    y = np.array([label for _, label in rows], float)
     return Model(lexicon, *logistic(x, y, ridge))
 
 
