@@ -39,11 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import kept, settle
+from .idtable import held, table
 from .wordhash import in_steps, mixed, spans, words
 
-#: Bits of a table that stands in for a set of ids in a first pass; two places an id.
-BITS = 2**25
-LAST = 2**63 - 1
 
 
 def sets_of(texts: list[str], width: int) -> list[np.ndarray]:
@@ -127,19 +125,19 @@ def classes(docs: DataFrame, width: int) -> DataFrame:
 def _regions(docs: DataFrame, named: DataFrame, width: int, scheme: Scheme) -> DataFrame:
     """region, class: every signature that several classes have, with those classes."""
     spark = docs.sparkSession
-    own = spark.sparkContext.broadcast(_table(named.select("id")))
+    own = spark.sparkContext.broadcast(table(named.select("id")))
 
     def emitted(own, bits=None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                b = b.filter(pa.array(_held(own.value, b.column(0).to_numpy(zero_copy_only=False))))
+                b = b.filter(pa.array(held(own.value, b.column(0).to_numpy(zero_copy_only=False))))
                 for _, part in in_steps(b.column(1).to_pylist()):
                     sets = sets_of(part, width)
                     marks = [scheme.signatures(s) for s in sets]
                     cls = np.repeat(np.fromiter(map(_class, sets), np.int64, len(sets)), list(map(len, marks)))
                     mark = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
                     if bits is not None:
-                        there = _held(bits.value, mark)
+                        there = held(bits.value, mark)
                         mark, cls = mark[there], cls[there]
                     yield pa.RecordBatch.from_arrays([pa.array(mark.view(np.int64)), pa.array(cls)], names=["region", "class"])
 
@@ -148,47 +146,16 @@ def _regions(docs: DataFrame, named: DataFrame, width: int, scheme: Scheme) -> D
     # A class is to count once here: of a group of copies, the first document speaks, and only copies that the table can't tell from it.
     shared = kept(emitted(own).groupBy("region").count().where("count > 1").select("region"), "jaccard-shared")
     settle(spark)
-    return kept(emitted(own, spark.sparkContext.broadcast(_table(shared))).join(shared, "region").distinct(), "jaccard-regions")
-
-
-def _places(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return mixed(x) % np.uint64(BITS), mixed(x ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(BITS)
-
-
-def _held(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Which ids the table may hold."""
-    out = np.ones(len(ids), bool)
-    for x in _places(ids.view(np.uint64)):
-        out &= (table.view(np.uint64)[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) == 1
-    return out
-
-
-def _table(ids: DataFrame) -> np.ndarray:
-    """A table of BITS bits with two set for each id (long, the only column). The driver gets its set words only, so a bounded number of rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(BITS // 64, np.uint64)
-        for b in batches:
-            for x in _places(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
-                np.bitwise_or.at(table, (x >> np.uint64(6)).astype(np.int64), np.uint64(1) << (x & np.uint64(63)))
-        word = np.flatnonzero(table)
-        for at in range(0, len(word), 100_000):
-            part = word[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(table[part].view(np.int64))], names=["word", "mask"])
-
-    found = ids.mapInArrow(run, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    out = np.zeros(BITS // 64, np.int64)
-    out[found.column("word").to_numpy()] = found.column("mask").to_numpy()
-    return out
+    return kept(emitted(own, spark.sparkContext.broadcast(table(shared))).join(shared, "region").distinct(), "jaccard-regions")
 
 
 def _texts(docs: DataFrame, named: DataFrame, ids: DataFrame) -> DataFrame:
     """class, text for the classes in ``ids``, each from its first document."""
-    bits = docs.sparkSession.sparkContext.broadcast(_table(ids.join(named, "class").select("id")))
+    bits = docs.sparkSession.sparkContext.broadcast(table(ids.join(named, "class").select("id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(_held(bits.value, b.column(0).to_numpy(zero_copy_only=False))))
+            yield b.filter(pa.array(held(bits.value, b.column(0).to_numpy(zero_copy_only=False))))
 
     near = docs.where("id is not null").mapInArrow(run, "id long, text string")
     return kept(near.join(ids.join(named, "class"), "id").dropDuplicates(["class"]).select("class", "text"), "jaccard-texts")
@@ -275,7 +242,7 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("class", "component")
 
 
-def join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """id, n, class, component: the least id that links lead to (the id itself without any). docs: id, text."""
     own = kept(classes(docs, width), "jaccard-classes")
     named = own.where("class <> 0").groupBy("class").agg(F.min("id").alias("id")).where("id is not null")

@@ -12,8 +12,9 @@ licence lines and set phrases stay. Removed spans are given as offsets (code poi
 into the original text, which stays the earliest document's.
 
 Grouping shuffles a digest and a rank a unit; sums of a digest meet already in the map
-tasks, so a unit of a third of all documents is a row a task. Only repeated units travel
-on to their documents.
+tasks, so a unit of a third of all documents is a row a task. Then only units whose
+digest a bit table of the repeated ones holds travel, to the table itself and on to
+their documents.
 
 Defined cases: null text stays null; empty texts stay; a null doc_id has the last rank;
 rows with one doc_id and text are one document (each keeps or loses the same spans),
@@ -29,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import kept, settle
+from .idtable import held, table
 from .wordhash import in_steps, mixed, spans, words
 
 RADIUS, LONGEST = 5, 64
@@ -87,14 +90,17 @@ def units_of(texts: list[str]) -> dict[str, np.ndarray]:
     }
 
 
-def units(docs: DataFrame) -> DataFrame:
-    """docs: key, rank, text. One row a unit, with the document's key and rank."""
+def units(docs: DataFrame, among=None) -> DataFrame:
+    """docs: key, rank, text. One row a unit, with the document's key and rank. among: a table of digests to which units are limited, but for those that repeat within their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, ranks = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for at, part in in_steps(b.column(2).to_pylist()):
                 u = units_of(part)
+                if among is not None:
+                    there = u["again"].astype(bool) | held(among.value, u["digest"].astype(np.int64))
+                    u = {k: v[there] for k, v in u.items()}
                 row = u["text"] + at
                 ints = [pa.array(u[c], pa.int32()) for c in ("number", "begin", "following", "n_words")]
                 yield pa.RecordBatch.from_arrays([pa.array(keys[row], pa.int64()), pa.array(ranks[row], pa.int64()), pa.array(u["digest"], pa.int64()), *ints, pa.array(u["again"].astype(bool))], names=["key", "rank", "digest", "number", "begin", "following", "n_words", "again"])
@@ -124,8 +130,10 @@ def _cuts(least: int):
 
 def repeated(docs: DataFrame, least: int = 28) -> DataFrame:
     """key, cuts: the spans to remove from the documents that have any. docs: key, rank, text."""
-    own = units(docs)
-    first = own.groupBy("digest").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last").select("digest", "first")
+    first = units(docs).groupBy("digest").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last")
+    first = kept(first.select("digest", "first"), "passages-first")
+    settle(docs.sparkSession)
+    own = units(docs, docs.sparkSession.sparkContext.broadcast(table(first.select("digest"))))
     later = own.join(first, "digest").where("rank > first").select("key", "number", "begin", "following", "n_words")
     within = own.where("again").select("key", "number", "begin", "following", "n_words")
     found = later.unionByName(within).groupBy("key").agg(F.collect_set(F.struct("number", "begin", "following", "n_words")).alias("units"))
