@@ -16,7 +16,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 2**64)
 #: Characters that one step works on at least; a longer text is a step of its own.
-STEP = 1_000_000
+STEP = 250_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -31,7 +31,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def _power(base: int, n: int) -> np.ndarray:
     if base not in _powers or len(_powers[base]) < n:
-        out = np.full(max(n, STEP + 100_000), base, np.uint64)
+        out = np.full(max(n, STEP + 50_000), base, np.uint64)
         out[0] = 1
         _powers[base] = np.multiply.accumulate(out)
         if n > 4 * STEP:  # do not hold on to the tables of one very long text
