@@ -208,8 +208,8 @@ def brute_components(ids, texts, width=4, percent=85):
     return {i: (len(s), ids[root(k)]) for k, (i, s) in enumerate(zip(ids, sets, strict=True))}
 
 
-@pytest.mark.parametrize("seed", [8, 9])
-def test_jaccard_components_equal_brute_force(spark, seed):
+@pytest.mark.parametrize("seed, width, percent", [(8, 4, 85), (9, 5, 80)])
+def test_jaccard_components_equal_brute_force(spark, seed, width, percent):
     rng = random.Random(seed)
     texts = [*ODD, "Word", "A b", "a  B"]
     for size, copies, edits in ((60, 40, 6), (150, 60, 12), (400, 12, 30), (8, 15, 2), (30, 30, 3)):
@@ -222,8 +222,8 @@ def test_jaccard_components_equal_brute_force(spark, seed):
             texts.append(" ".join(own))
     texts += [prose(rng, 20) + " " + prose(random.Random(0), 60) for _ in range(25)] + texts[-5:]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    got = {r.id: (r.n, r.component) for r in jaccard.join(df).collect()}
-    want = brute_components(list(range(len(texts))), texts)
+    got = {r.id: (r.n, r.component) for r in jaccard.join(df, width, percent).collect()}
+    want = brute_components(list(range(len(texts))), texts, width, percent)
     assert got == want
     assert len({c for _, c in want.values()}) < len(texts) - 30
 
