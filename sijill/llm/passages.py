@@ -1,15 +1,17 @@
 """Removal of repeated passages by hashed units.
 
-A unit is a line or a piece of one. Besides line ends, units end after a full stop,
+A unit is a line or a piece of one. Besides line ends, pieces end after a full stop,
 exclamation or question mark, before a capital that follows a small initial, and where
-the hash of two words is the least within ``RADIUS`` words: cuts that depend on nearby
-words only, so a passage that stands in the middle of a foreign line is cut alike in
-every document, which whole lines would not give. Units are normalised (case folded,
-white space dropped), their digests grouped over all documents, and the occurrence in
-the document of lowest rank (doc_id) is kept, in it the first. Other occurrences are
-removed where they follow one another over at least ``least`` words, so that titles,
-licence lines and set phrases stay. Removed spans are given as offsets (code points)
-into the original text, which stays the earliest document's.
+the hash of two words is the least within ``RADIUS`` words of the line: cuts that depend
+on nearby words only, so a passage that stands in the middle of a foreign line is cut
+alike in every document, which whole lines would not give. Units are normalised (case
+folded, white space dropped), their digests grouped over all documents, and the
+occurrence in the document of lowest rank (doc_id) is kept, in it the first. With
+``lines``, every other occurrence of a whole line is removed, however short; a repeated
+paragraph is repeated lines. Without, titles, licence lines and set phrases stay. Pieces
+are removed where they follow one another over at least ``least`` words. A line's pieces
+depend on the line alone, so those of a repeated line are repeated too. Removed spans are
+given as offsets (code points) into the original text, which stays the earliest document's.
 
 Grouping shuffles a digest and a rank a unit; sums of a digest meet already in the map
 tasks, so a unit of a third of all documents is a row a task. Then only units whose
@@ -35,115 +37,137 @@ from .idtable import held, table
 from .wordhash import in_steps, mixed, spans, words
 
 RADIUS, LONGEST = 5, 64
+#: Keeps digests of whole lines apart from those of pieces.
+LINE = np.uint64(0x8CB92BA72F3D8DD7)
 LAST = 2**63 - 1
 
 
-def _starts(w) -> np.ndarray:
-    """Whether a word starts a unit."""
+def _starts(w, line: np.ndarray) -> np.ndarray:
+    """Whether a word starts a piece. line: the number of each word's line."""
     n = len(w.begin)
     start = np.zeros(n, bool)
     start[:1] = True
-    start[1:] = w.text[1:] != w.text[:-1]
-    lines = np.cumsum(w.codes == 10)
-    start[1:] |= lines[w.begin[1:]] != lines[w.end[:-1] - 1]
+    start[1:] = line[1:] != line[:-1]
     last = w.codes[w.end - 1]
     start[1:] |= np.isin(last[:-1], (33, 46, 63))
     head = w.codes[w.begin]
     capital = ((head >= 65) & (head <= 90)) | ((head >= 0xC0) & (head <= 0xDE))
     start[1:] |= capital[1:] & ~capital[:-1]
     pair = w.hash.copy()
-    pair[:-1] = mixed(w.hash[:-1] + (w.hash[1:] << np.uint64(1)))
+    pair[:-1] = np.where(line[1:] == line[:-1], mixed(w.hash[:-1] + (w.hash[1:] << np.uint64(1))), w.hash[:-1])
     least = np.ones(n, bool)
     for d in range(1, min(RADIUS, n - 1) + 1):
-        least[d:] &= pair[d:] < pair[:-d]
-        least[:-d] &= pair[:-d] <= pair[d:]
+        apart = line[d:] != line[:-d]
+        least[d:] &= (pair[d:] < pair[:-d]) | apart
+        least[:-d] &= (pair[:-d] <= pair[d:]) | apart
     start |= least
     at = np.flatnonzero(start)
     inside = np.arange(n) - np.repeat(at, np.diff([*at, n])) if n else at
     return start | (inside % LONGEST == 0)
 
 
-def units_of(texts: list[str]) -> dict[str, np.ndarray]:
-    """Per unit: text, number in the text, digest, begin, end, following (begin of the next unit or the text's length), n_words, again (an earlier unit of the text is equal)."""
+def units_of(texts: list[str], lines: bool = False) -> dict[str, np.ndarray]:
+    """Per unit: text, number in the text (of a line: that of its first piece), digest, begin, end, following (begin of the next unit or the text's length), n_words, pieces (of a line; 0 in a piece), again (an earlier unit of the text is equal)."""
     w = words(texts, full=True)
-    at = np.flatnonzero(_starts(w))
-    to = np.array([*at[1:], len(w.begin)], np.int64)
-    text = w.text[at]
+    line = np.cumsum(w.codes == 10)[w.begin]
+    at = np.flatnonzero(_starts(w, line))
     if not len(at):
-        return {k: at for k in ("text", "number", "digest", "begin", "end", "following", "n_words", "again")}
+        return {k: at for k in ("text", "number", "digest", "begin", "end", "following", "n_words", "pieces", "again")}
+    to = np.array([*at[1:], len(w.begin)], np.int64)
+    new = np.append(True, w.text[at][1:] != w.text[at][:-1])
+    head = np.flatnonzero(new)
+    number = np.arange(len(at)) - np.repeat(head, np.diff([*head, len(at)]))
+    digest, pieces = spans(w.hash, at, to), np.zeros(len(at), np.int64)
+    if lines:
+        own = np.flatnonzero(np.append(True, line[at][1:] != line[at][:-1]))
+        until = np.array([*own[1:], len(at)], np.int64)
+        digest = np.append(digest, mixed(spans(w.hash, at[own], to[until - 1]) ^ LINE))
+        number, pieces = np.append(number, number[own]), np.append(pieces, until - own)
+        at, to = np.append(at, at[own]), np.append(to, to[until - 1])
+    digest, text = digest.view(np.int64), w.text[at]
     offset = w.first[text]
-    begin = w.begin[at] - offset
     size = np.fromiter(map(len, texts), np.int64, len(texts))
-    following = np.where(np.append(text[1:] != text[:-1], True), size[text], np.append(begin[1:], 0))
-    new = np.append(True, text[1:] != text[:-1])
-    head = np.flatnonzero(new)
-    digest = spans(w.hash, at, to).view(np.int64)
+    ends = np.append(w.text[1:] != w.text[:-1], True)[to - 1]
+    following = np.where(ends, size[text], np.append(w.begin, 0)[to] - offset)
     return {
         "text": text,
-        "number": np.arange(len(at)) - np.repeat(head, np.diff([*head, len(at)])),
+        "number": number,
         "digest": digest,
-        "begin": begin,
+        "begin": w.begin[at] - offset,
         "end": w.end[to - 1] - offset,
         "following": following,
         "n_words": to - at,
+        "pieces": pieces,
         "again": pd.DataFrame({"t": text, "d": digest}).duplicated().to_numpy(),
     }
 
 
-def units(docs: DataFrame, among=None) -> DataFrame:
+def units(docs: DataFrame, among=None, lines: bool = False) -> DataFrame:
     """docs: key, rank, text. One row a unit, with the document's key and rank. among: a table of digests to which units are limited, but for those that repeat within their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, ranks = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for at, part in in_steps(b.column(2).to_pylist()):
-                u = units_of(part)
+                u = units_of(part, lines)
                 if among is not None:
                     there = u["again"].astype(bool) | held(among.value, u["digest"].astype(np.int64))
                     u = {k: v[there] for k, v in u.items()}
                 row = u["text"] + at
-                ints = [pa.array(u[c], pa.int32()) for c in ("number", "begin", "following", "n_words")]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[row], pa.int64()), pa.array(ranks[row], pa.int64()), pa.array(u["digest"], pa.int64()), *ints, pa.array(u["again"].astype(bool))], names=["key", "rank", "digest", "number", "begin", "following", "n_words", "again"])
+                ints = [pa.array(u[c], pa.int32()) for c in ("number", "begin", "following", "n_words", "pieces")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[row], pa.int64()), pa.array(ranks[row], pa.int64()), pa.array(u["digest"], pa.int64()), *ints, pa.array(u["again"].astype(bool))], names=["key", "rank", "digest", "number", "begin", "following", "n_words", "pieces", "again"])
 
-    return docs.select("key", "rank", "text").mapInArrow(run, "key long, rank long, digest long, number int, begin int, following int, n_words int, again boolean")
+    return docs.select("key", "rank", "text").mapInArrow(run, "key long, rank long, digest long, number int, begin int, following int, n_words int, pieces int, again boolean")
 
 
 def _cuts(least: int):
     def run(rows: pd.Series) -> pd.Series:
         out = []
         for found in rows:
-            cuts: list[list[int]] = []
+            gone = {n for u in found for n in range(u["number"], u["number"] + u["pieces"])}
+            runs: list[list] = []
             number = -2
-            for u in sorted(found, key=lambda u: u["number"]):
+            for u in sorted((u for u in found if not u["pieces"]), key=lambda u: u["number"]):
                 if u["number"] == number:  # repeated rows of a document
                     continue
                 if u["number"] != number + 1:
-                    cuts.append([u["begin"], 0, 0])
+                    runs.append([])
                 number = u["number"]
-                cuts[-1][1] = u["following"]
-                cuts[-1][2] += u["n_words"]
-            out.append([{"begin": b, "end": e, "n_words": n} for b, e, n in cuts if n >= least])
+                runs[-1].append(u)
+            cuts: list[list[int]] = []
+            number = -2
+            for own in runs:
+                long = sum(u["n_words"] for u in own) >= least
+                for u in own:
+                    if not (long or u["number"] in gone):
+                        continue
+                    if u["number"] != number + 1:
+                        cuts.append([u["begin"], 0, 0])
+                    number = u["number"]
+                    cuts[-1][1] = u["following"]
+                    cuts[-1][2] += u["n_words"]
+            out.append([{"begin": b, "end": e, "n_words": n} for b, e, n in cuts])
         return pd.Series(out)
 
     return F.pandas_udf(run, "array<struct<begin:int,end:int,n_words:int>>")  # type: ignore[call-overload]
 
 
-def repeated(docs: DataFrame, least: int = 28) -> DataFrame:
+def repeated(docs: DataFrame, least: int = 28, lines: bool = False) -> DataFrame:
     """key, cuts: the spans to remove from the documents that have any. docs: key, rank, text."""
-    first = units(docs).groupBy("digest").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last")
+    first = units(docs, lines=lines).groupBy("digest").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last")
     first = kept(first.select("digest", "first"), "passages-first")
     settle(docs.sparkSession)
-    own = units(docs, docs.sparkSession.sparkContext.broadcast(table(first.select("digest"))))
-    later = own.join(first, "digest").where("rank > first").select("key", "number", "begin", "following", "n_words")
-    within = own.where("again").select("key", "number", "begin", "following", "n_words")
-    found = later.unionByName(within).groupBy("key").agg(F.collect_set(F.struct("number", "begin", "following", "n_words")).alias("units"))
+    own = units(docs, docs.sparkSession.sparkContext.broadcast(table(first.select("digest"))), lines)
+    later = own.join(first, "digest").where("rank > first").select("key", "number", "begin", "following", "n_words", "pieces")
+    within = own.where("again").select("key", "number", "begin", "following", "n_words", "pieces")
+    found = later.unionByName(within).groupBy("key").agg(F.collect_set(F.struct("number", "begin", "following", "n_words", "pieces")).alias("units"))
     return found.select("key", _cuts(least)("units").alias("cuts")).where(F.size("cuts") > 0)
 
 
-def remove(docs: DataFrame, least: int = 28) -> DataFrame:
+def remove(docs: DataFrame, least: int = 28, lines: bool = False) -> DataFrame:
     """``docs`` with the text cut, and removed: the spans cut from the original text."""
     key = F.xxhash64("doc_id", "text")
-    cuts = repeated(docs.select(key.alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), "text"), least)
+    cuts = repeated(docs.select(key.alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), "text"), least, lines)
     joined = docs.select(*docs.columns, key.alias("_key")).join(cuts.withColumnRenamed("key", "_key"), "_key", "left")
     cut, none = F.col("cuts"), F.expr("cast(array() as array<struct<begin:int,end:int,n_words:int>>)")
     ends = F.concat(F.array(F.lit(0)), F.transform(cut, lambda c: c["end"]))

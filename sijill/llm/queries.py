@@ -33,7 +33,7 @@ def op2_bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.remove(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return passages.remove(read(spark, sf_dir, "documents").select("doc_id", "text"), lines=True)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -258,6 +258,39 @@ def test_passages_are_removed_once(spark):
     assert passages.remove(df.limit(0)).count() == 0
 
 
+def test_every_repeated_line_is_removed(spark):
+    """Against brute force over whole lines, of any length; the query that is registered does so too."""
+    rng = random.Random(20)
+    pool = [prose(rng, rng.randint(1, 12)) for _ in range(40)]
+    texts = ["\n".join(rng.choice([rng.choice(pool), rng.choice(pool).upper(), prose(rng, rng.randint(1, 12)), "", " \t"]) for _ in range(rng.randint(0, 9))) for _ in range(120)]
+    rows = [*enumerate([*texts, *ODD]), (None, texts[3]), (None, pool[0] + "\nlast of all")]
+    split = lambda t: [x for x in (tuple(re.findall(r"[^\x20\x09-\x0D]+", line.lower())) for line in (t or "").split("\n")) if x]
+    owner, want = {}, {}
+    for d, t in rows:
+        own, left = set(), []
+        rank = 2**63 - 1 if d is None else d
+        for line in split(t):
+            if owner.setdefault(line, rank) == rank and line not in own:
+                left.append(line)
+            own.add(line)
+        want[d, t] = left
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.remove(df.repartition(5), least=10**6, lines=True)
+    got = found.collect()
+    assert len(got) == len(rows)
+    assert sorted((str(r.doc_id), split(r.text)) for r in got) == sorted((str(d), left) for (d, _), left in want.items())
+
+
+def test_op3_removes_short_repeated_lines(spark, tmp_path):
+    from sijill.llm.queries import op3_substring_dedup
+
+    rng = random.Random(21)
+    texts = [f"{prose(rng, 20)}\nGPL licence line.\n{prose(rng, 20)}" for _ in range(4)]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r.text for r in op3_substring_dedup(spark, str(tmp_path)).collect()}
+    assert rows == {i: t if i == 0 else t.replace("GPL licence line.\n", "") for i, t in enumerate(texts)}
+
+
 # Toxicity -----------------------------------------------------------------------------
 
 
