@@ -3,8 +3,9 @@
 A conversation becomes one formatted stream. Each assistant turn is an example of its
 own: the stream up to the end of that turn, with only the reply under the loss mask.
 Since every example is a prefix of its conversation's stream, an example is kept as
-(prefix length, reply start, reply length) beside the stream; :func:`explode_examples`
-writes the texts out. So the table grows with the turns, not with their square.
+(prefix length, reply start, reply length) beside the stream, so that what is shuffled
+grows with the turns; :func:`explode_examples` writes each example's text out, and
+:func:`read_back` reads these texts alone.
 
 Template: ``<s>[INST] text [/INST]</s>`` for a user, ``<s>text</s>`` for an assistant,
 ``<s>[ROLE]role[/ROLE]text</s>`` for any other role. Inside texts and role names each
@@ -67,14 +68,14 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
 
 def explode_examples(formatted: DataFrame) -> DataFrame:
-    """One row an example: conv_id, example, text, loss_start, loss_chars."""
-    rows = formatted.select("conv_id", "stream", F.posexplode("examples").alias("example", "e"))
-    return rows.select("conv_id", "example", F.expr("left(stream, cast(e.prefix_chars as int))").alias("text"), "e.loss_start", "e.loss_chars")
+    """One row an example: conv_id, example, text, loss_start, loss_chars, last (of its conversation)."""
+    rows = formatted.select("conv_id", "stream", F.size("examples").alias("n"), F.posexplode("examples").alias("example", "e"))
+    return rows.select("conv_id", "example", F.expr("left(stream, cast(e.prefix_chars as int))").alias("text"), "e.loss_start", "e.loss_chars", (F.col("example") == F.col("n") - 1).alias("last"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Turns and trainable text recovered from the formatted output alone."""
-    pieces = F.filter(F.split("stream", "</s>"), lambda x: x != "")
+    """Turns and trainable text recovered from the exploded examples alone: turns from the last, which holds all."""
+    pieces = F.filter(F.split("text", "</s>"), lambda x: x != "")
     user, other = "<s>[INST] ", "<s>[ROLE]"
 
     def turn(p: Column) -> Column:
@@ -86,13 +87,14 @@ def read_back(formatted: DataFrame) -> DataFrame:
         )
         return F.concat(unescape(role), F.lit("\n"), unescape(text), F.lit("\n"))
 
-    loss = F.transform("examples", lambda e: unescape(F.substring(F.col("stream"), (e["loss_start"] + 1).cast("int"), e["loss_chars"].cast("int"))))
-    found = formatted.select("conv_id", F.transform(pieces, turn).alias("turns"), F.array_join(loss, "").alias("loss"), F.aggregate("examples", F.lit(0).cast("long"), lambda n, e: n + e["prefix_chars"]).alias("formatted_chars"))
-    return found.select(
-        "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
-        F.length("loss").cast("long").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"),
-        "formatted_chars",
+    loss = unescape(F.substring(F.col("text"), (F.col("loss_start") + 1).cast("int"), F.col("loss_chars").cast("int")))
+    # Each text is reduced in its own row, so that no aggregate holds texts of prefixes.
+    found = explode_examples(formatted).select("conv_id", "example", loss.alias("loss"), F.length("text").cast("long").alias("chars"), F.when(F.col("last"), F.transform(pieces, turn)).alias("turns"))
+    read = found.select("conv_id", "example", "loss", "chars", F.when(F.col("turns").isNotNull(), F.size("turns")).cast("long").alias("n_turns"), F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"))
+    packed = read.groupBy("conv_id").agg(
+        F.max("n_turns").alias("n_turns"),
+        F.max("turns_sha256").alias("turns_sha256"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("example", "loss"))), lambda x: x["loss"]), "").alias("loss"),
+        F.sum("chars").alias("formatted_chars"),
     )
+    return packed.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")

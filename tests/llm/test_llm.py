@@ -48,6 +48,22 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.format_conversations(df.limit(0))).count() == 0
 
 
+def test_op8_reads_the_texts_of_exploded_examples(spark, tmp_path, monkeypatch):
+    from sijill.llm.queries import op8_chat_prefix_targets
+
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {t}") for c in (1, 2) for t in range(7)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    plain = {r.conv_id: r for r in op8_chat_prefix_targets(spark, str(tmp_path)).collect()}
+    explode = chat.explode_examples
+    monkeypatch.setattr(chat, "explode_examples", lambda f: explode(f).withColumn("text", F.concat("text", F.lit("<s>more</s>"))))
+    longer = {r.conv_id: r for r in op8_chat_prefix_targets(spark, str(tmp_path)).collect()}
+    assert plain.keys() == longer.keys() == {-1, 1, 2}
+    for c, n in ((-1, 1), (1, 4), (2, 4)):
+        assert longer[c].formatted_chars == plain[c].formatted_chars + 11 * n
+        assert longer[c].n_turns == plain[c].n_turns + 1
+        assert longer[c].loss_sha256 == plain[c].loss_sha256
+
+
 # URLs ---------------------------------------------------------------------------------
 
 
