@@ -343,6 +343,17 @@ def sanitize_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", paths.file_name(F.left("text", F.lit(100))).alias("name"))
 
 
+#: Long values beside the documents, at each place of the limit within a character.
+LONG_TITLES = [(-1 - k, "a" * k + "نظام المرافعات الشرعية ولائحته التنفيذية " * 12) for k in range(4)] + [(-5, "\U0001f600" * 80), (-6, "é" * 100 + "...")]
+
+
+@query(None)
+def sanitize_filename_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of whole texts, with the cut at the limit of bytes that prefixes never reach."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.unionByName(values(spark, LONG_TITLES, "doc_id long, text string")).select("doc_id", paths.file_name(F.col("text")).alias("name"))
+
+
 @query("SELECT conv_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY turn)) AS text, count(*) AS n FROM conversations WHERE role = 'assistant' GROUP BY conv_id")
 def article_text_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n\n")

@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import pytest
 
@@ -38,3 +39,18 @@ def test_query(spark, duck, name):
     assert sorted(rel.columns) == columns
     at = [rel.columns.index(c) for c in columns]
     assert found == sorted(repr(tuple(plain(r[i]) for i in at)) for r in rel.fetchall())
+
+
+def test_whole_texts_give_file_names(spark):
+    """Against brute force: the whole text, cut at 200 bytes between characters."""
+    rows = [(r.doc_id, r.text) for r in catalogue.table(spark, DIR, "documents").collect()] + catalogue.LONG_TITLES
+
+    def name(text):
+        out = re.sub(r"\s+", " ", re.sub(r'[/\\:*?"<>|]', " ", text or ""), flags=re.ASCII).strip()
+        out = out.encode()[:200].decode(errors="ignore").strip()
+        return out if out.strip(".") else "بدون-عنوان"
+
+    want = {d: name(t) for d, t in rows}
+    got = {r.doc_id: r.name for r in catalogue.QUERIES["sanitize_filename_whole"](spark, DIR).collect()}
+    assert got == want
+    assert sum(190 < len(n.encode()) <= 200 for n in got.values()) > 50
