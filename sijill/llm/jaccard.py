@@ -1,33 +1,46 @@
 """Exact Jaccard join of texts on word shingles, in metric regions.
 
-The distance is 1 - |A & B| / |A | B| over sets of hashed shingles; two texts link when
-it is at most ``1 - percent / 100``. Unlike texts are all at distance near 1, where the
-triangle inequality separates nothing: a window around any pivot's Voronoi region would
-take in every document. So regions are first cut by signatures, without loss: a set's
-hashes are dealt into slightly more parts than two linked sets can differ in elements,
-and by the pigeonhole principle two linked sets agree on a part that isn't empty. Texts
-that share a part's signature are a region; its smallest class is the region's pivot.
-
-Every member of a region is measured against the pivot p. What lies within the link
-distance is the pivot's cell, linked through it. The rest is joined, with the cell's
-boundary, in differences to the pivot: A ^ B = (A ^ p) ^ (B ^ p), so by the triangle
-inequality members that differ from p in k elements, and others, link only if the
-differences themselves agree enough. What p explains is gone from them, so a hot region
-of texts alike in p falls apart. Members meet by the leading elements of their
-differences (those outside p first), twice as many for the member farther from p, and
-only those of other components; a pair is measured if it shares as many leading
-elements as a link needs. No pair that could link two components goes untested, so
-components are exact.
-
-Equal sets are one class and travel as one; a group of copies is never expanded. Texts
-are fetched only for classes in a region with another class, found by a bit table of
-fixed size; where that is full, more rows travel and the result is the same.
+The distance is 1 - |A & B| / |A | B| over sets of hashed shingles, a metric; two texts
+link when it is at most e = ``1 - percent / 100``. Unlike texts are all at distance near
+1, where the triangle inequality separates nothing: a window around any pivot's Voronoi
+region would take in every text. So texts are first cut into regions by signatures,
+without loss: a set's hashes are dealt into slightly more parts than two linked sets can
+differ in elements, and by the pigeonhole principle two linked sets agree on a part that
+isn't empty. (Under 70 percent that may fail, and the signatures are the leading elements
+that two linked sets must share.)
+
+Regions then join recursively. A region's pivot is the text that most of its members
+share most regions with; regions of one pivot are one. Every member is measured against
+it, and what links to it is one component. A region of over ``HOT`` members has a
+second pivot outside the first one's window: a member's home is the Voronoi region of the
+nearer, and it is replicated into that of a pivot p where d(member, p) <= d(member, home)
++ 2 e, the window outside of which nothing of p's region can be linked to it. Only pairs with a member at home count there.
+
+Within a pivot's region, texts are taken as differences to the pivot: since A ^ B =
+(A ^ p) ^ (B ^ p), members that differ from p in k elements and others link only if
+these differences agree enough (the triangle inequality, in elements), and what p
+explains is gone from them. Members meet by the leading elements of their differences
+(those outside p first; see :func:`_differences`), in one region an element, if it has
+members of several components. Regions in which one side has at most ``SMALL`` members
+list their pairs, which are measured if they share as many leading elements as a link
+needs. Others are joined as above, with a pivot of their own, which all members agree with
+on that element. Once a round leaves over a quarter of
+the members that it began with, all regions count as small. No pair that could link two
+components goes untested, so components are exact.
+
+Equal sets are one class and travel as one; a group of copies is never expanded. Sets
+are sent once a class and pair with a pivot, and the members of a large region are
+dealt over several tasks. Sets are made only for classes in a region with another class,
+found by a bit table of fixed size; where that is full, more rows travel and the result
+is the same.
 
 Defined cases: null and empty texts and texts without words have no shingle and link
 with nothing, not even with each other; fewer words than a shingle are one shingle;
-repeated rows and null ids: an id's component is the least id of its class and links,
-null ids come last; very long texts are read whole; extra columns are ignored. Sets are
-compared by 64-bit hashes of their shingles. An empty table gives an empty table.
+rows with a null id are linked like others, but null is the last id: a component has a
+null id only where all its rows have; rows with one id and other texts are linked each
+by its own text; very long texts are read whole; extra columns are ignored; percent is
+1 to 100. Sets are compared by 64-bit hashes of their shingles. An empty table gives an
+empty table.
 """
 
 from collections.abc import Iterator
@@ -42,6 +55,12 @@ from .common import kept, settle
 from .idtable import held, table
 from .wordhash import in_steps, mixed, spans, words
 
+#: Members of a region from which on it has more pivots, and up to which a side of it lists pairs.
+HOT, SMALL = 500, 16
+#: Members of a pivot that one task measures, about.
+DEAL = 1000
+#: Rows of numbers up to which a table is sent to all tasks, and read by one.
+SENT, FEW = 100_000, 20_000
 
 
 def sets_of(texts: list[str], width: int) -> list[np.ndarray]:
@@ -60,13 +79,19 @@ def sets_of(texts: list[str], width: int) -> list[np.ndarray]:
     return out
 
 
+#: Least percent at which a set can be dealt into more parts that aren't empty than linked sets differ in.
+DEALT = 70
+
+
 class Scheme:
     """How sets of some size are dealt into parts, for links of at least ``percent``."""
 
     def __init__(self, percent: int):
+        if not 1 <= percent <= 100:
+            raise ValueError("percent must be 1 to 100")
         self.percent = percent
         low = [1]
-        while low[-1] < 2**40:
+        while DEALT <= percent < 100 and low[-1] < 2**40:
             low.append(max(low[-1] + 1, -(-low[-1] * 100 // percent)))
         self.low = np.array(low)
 
@@ -79,6 +104,8 @@ class Scheme:
     def signatures(self, s: np.ndarray) -> np.ndarray:
         if not len(s):
             return np.zeros(0, np.uint64)
+        if self.percent < DEALT:
+            return np.sort(mixed(s))[: len(s) + 1 - -(-len(s) * self.percent // 100)]
         c = int(np.searchsorted(self.low, len(s), "right")) - 1
         found = [self._dealt(s, k) for k in (c - 1, c) if k >= 0 and self.differ(k)]
         return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
@@ -109,103 +136,172 @@ def _class(s: np.ndarray) -> int:
     return int((mixed(np.array([mixed(s).sum(dtype=np.uint64) + np.uint64(len(s))]))[0] | np.uint64(1)).astype(np.int64))
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`kept`; a table of a few rows has one partition, so that what follows needs no shuffle."""
+    out = kept(df, f"jaccard-{name}")
+    return out.coalesce(1) if out.count() <= FEW else out
+
+
 def classes(docs: DataFrame, width: int) -> DataFrame:
-    """id, n (size of the set), class."""
+    """id, key, n (size of the set), class. docs: id, text, key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, part in in_steps(b.column(1).to_pylist()):
                 sets = sets_of(part, width)
-                ids = b.column(0).slice(at, len(part))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(map(len, sets), pa.int64()), pa.array(map(_class, sets), pa.int64())], names=["id", "n", "class"])
+                ids, keys = (b.column(i).slice(at, len(part)) for i in (0, 2))
+                yield pa.RecordBatch.from_arrays([ids, keys, pa.array(map(len, sets), pa.int64()), pa.array(map(_class, sets), pa.int64())], names=["id", "key", "n", "class"])
+
+    return docs.mapInArrow(run, "id long, key long, n long, class long")
 
-    return docs.mapInArrow(run, "id long, n long, class long")
+
+def _chosen(docs: DataFrame, keys: DataFrame, width: int, what, schema: str) -> DataFrame:
+    """``what(classes, sets)``, as columns of ``schema``, for the rows that a bit table of ``keys`` holds."""
+    held_keys = docs.sparkSession.sparkContext.broadcast(table(keys))
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pa.array(held(held_keys.value, b.column(1).to_numpy(zero_copy_only=False))))
+            for _, part in in_steps(b.column(0).to_pylist()):
+                sets = sets_of(part, width)
+                yield pa.RecordBatch.from_arrays(what(np.fromiter(map(_class, sets), np.int64, len(sets)), sets), names=names)
+
+    return docs.select("text", "key").mapInArrow(run, schema)
 
 
 def _regions(docs: DataFrame, named: DataFrame, width: int, scheme: Scheme) -> DataFrame:
     """region, class: every signature that several classes have, with those classes."""
     spark = docs.sparkSession
-    own = spark.sparkContext.broadcast(table(named.select("id")))
-
-    def emitted(own, bits=None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                b = b.filter(pa.array(held(own.value, b.column(0).to_numpy(zero_copy_only=False))))
-                for _, part in in_steps(b.column(1).to_pylist()):
-                    sets = sets_of(part, width)
-                    marks = [scheme.signatures(s) for s in sets]
-                    cls = np.repeat(np.fromiter(map(_class, sets), np.int64, len(sets)), list(map(len, marks)))
-                    mark = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
-                    if bits is not None:
-                        there = held(bits.value, mark)
-                        mark, cls = mark[there], cls[there]
-                    yield pa.RecordBatch.from_arrays([pa.array(mark.view(np.int64)), pa.array(cls)], names=["region", "class"])
-
-        return docs.where("id is not null").mapInArrow(run, "region long, class long")
-
-    # A class is to count once here: of a group of copies, the first document speaks, and only copies that the table can't tell from it.
-    shared = kept(emitted(own).groupBy("region").count().where("count > 1").select("region"), "jaccard-shared")
+
+    def emitted(bits=None):
+        def what(classes: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
+            marks = [scheme.signatures(s) for s in sets]
+            cls = np.repeat(classes, list(map(len, marks)))
+            mark = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
+            if bits is not None:
+                there = held(bits.value, mark)
+                mark, cls = mark[there], cls[there]
+            return [pa.array(mark.view(np.int64)), pa.array(cls)]
+
+        return _chosen(docs, named.select("key"), width, what, "region long, class long")
+
+    # A class is to count once here: of a group of copies, one row speaks, and only rows that the table can't tell from it.
+    shared = kept(emitted().groupBy("region").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("region"), "jaccard-shared")
     settle(spark)
-    return kept(emitted(own, spark.sparkContext.broadcast(table(shared))).join(shared, "region").distinct(), "jaccard-regions")
+    return kept(emitted(spark.sparkContext.broadcast(table(shared))).join(shared, "region").distinct(), "jaccard-spread")
 
 
-def _texts(docs: DataFrame, named: DataFrame, ids: DataFrame) -> DataFrame:
-    """class, text for the classes in ``ids``, each from its first document."""
-    bits = docs.sparkSession.sparkContext.broadcast(table(ids.join(named, "class").select("id")))
+def _sets(docs: DataFrame, named: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """class, set for the classes in ``wanted``."""
+
+    def what(classes: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
+        return [pa.array(classes), _lists(sets)]
+
+    found = _chosen(docs, named.join(wanted, "class").select("key"), width, what, "class long, set array<long>")
+    return kept(found.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "jaccard-sets")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(held(bits.value, b.column(0).to_numpy(zero_copy_only=False))))
 
-    near = docs.where("id is not null").mapInArrow(run, "id long, text string")
-    return kept(near.join(ids.join(named, "class"), "id").dropDuplicates(["class"]).select("class", "text"), "jaccard-texts")
+def _lists(sets: list[np.ndarray]) -> pa.ListArray:
+    places = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)))
 
 
-def _paired(pairs: DataFrame, texts: DataFrame, width: int, what, schema: str) -> DataFrame:
-    """``what(a, b, set of a, set of b)`` of each pair of classes, as rows of ``schema``."""
-    rows = pairs.select("a", "b").join(texts.select(F.col("class").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("class").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+def _gathered(spread: DataFrame, order: DataFrame) -> DataFrame:
+    """region, class: signature regions merged by pivot, which names the region.
+
+    A class's hub is the leading class of most of its regions; a region's pivot is the hub
+    of over half of its classes, or else the class that leads it.
+    """
+    best = lambda c, *by: F.max_by(c, F.struct(*by, c))
+    led = kept(spread.join(order, "class").groupBy("region").agg(F.count("*").alias("size"), best("class", "degree").alias("lead")), "jaccard-led")
+    hubs = spread.join(led, "region").groupBy("class", "lead").agg(F.count("*").alias("n")).groupBy("class").agg(best("lead", "n").alias("hub"))
+    most = spread.join(hubs, "class").groupBy("region", "hub").agg(F.count("*").alias("n")).groupBy("region").agg(best("hub", "n").alias("hub"), F.max("n").alias("n"))
+    pivot = led.join(most, "region").select("region", F.when(2 * F.col("n") > F.col("size"), F.col("hub")).otherwise(F.col("lead")).alias("pivot"))
+    return spread.join(pivot, "region").select(F.col("pivot").alias("region"), "class").distinct()
+
+
+def _second(regions: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+    """region, a, b: members of large regions with a second pivot, outside the window of the first. first: region, a, b, far."""
+    outside = first.where(F.col("far") > 2 * (1 - percent / 100))
+    chosen = outside.groupBy("region").agg(F.max_by("b", F.struct(F.xxhash64("b"), "b")).alias("a"))
+    sizes = regions.groupBy("region").agg(F.count("*").alias("size")).where(F.col("size") > HOT).select("region")
+    return regions.join(chosen.join(sizes, "region"), "region").select("region", "a", F.col("class").alias("b")).where("a <> b")
+
+
+def _paired(pairs: DataFrame, sets: DataFrame, what, schema: str) -> DataFrame:
+    """``what(row, set of a, set of b)`` of each pair of classes a and b, as rows of ``schema``; row has the pair's long columns.
+
+    A class a of many pairs is dealt over as many tasks as they need. A few pairs are sent
+    to the sets, so that only sets in pairs are shuffled. pairs: a kept table.
+    """
+    plain = pairs.columns
+    sent = F.broadcast if pairs.count() <= SENT else lambda x: x
+    many = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    deals = F.ceil(F.col("n") / DEAL).cast("int")
+    left = pairs.join(many.where(f"n > {DEAL}").select("a", deals.alias("deals")), "a", "left")
+    left = sent(left.withColumn("deal", F.coalesce(F.pmod(F.xxhash64("b"), F.col("deals")).cast("int"), F.lit(0)))).join(sets.select(F.col("class").alias("b"), F.col("set").alias("sb")), "b")
+    right = sent(many.select("a", F.explode(F.sequence(F.lit(0), deals - 1)).alias("deal"))).join(sets.select(F.col("class").alias("a"), F.col("set").alias("sa")), "a")
+    rows = left.join(right, ["a", "deal"]).select(*plain, "sa", "sb")
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+    n = len(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                b = batch.slice(at, 200)
-                a_s, b_s = b.column(0).to_pylist(), b.column(1).to_pylist()
-                if len(held) > 64:
-                    held = {c: held[c] for c in set(a_s) if c in held}
-                new = {c: i for i, c in enumerate(a_s) if c not in held}
-                found = [b.column(2)[i].as_py() for i in new.values()] + b.column(3).to_pylist()
-                sets: list[np.ndarray] = [s for _, part in in_steps(found) for s in sets_of(part, width)]
-                held |= dict(zip(new, sets, strict=False))
-                out = [np.array(x, np.int64).reshape(-1, len(names)) for x in (what(c, d, held[c], s) for c, d, s in zip(a_s, b_s, sets[len(new) :], strict=True))]
+            for at in range(0, batch.num_rows, 500):
+                b = batch.slice(at, 500)
+                row = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(n)], axis=1)
+                out = [np.array(what(r, x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64)), np.int64).reshape(-1, len(names)) for r, x, y in zip(row, b.column(n), b.column(n + 1), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(col) for col in np.concatenate(out).T], names=names)
 
-    names = [f.split(" ")[0] for f in schema.split(", ")]
     return rows.mapInArrow(run, schema)
 
 
-def _measured(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """a, b, shared, whole (sizes of intersection and union) of each pair."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """region, a, b, shared, whole (sizes of intersection and union) of each pair."""
 
-    def sizes(a: int, b: int, p: np.ndarray, s: np.ndarray) -> list[int]:
+    def sizes(row: np.ndarray, p: np.ndarray, s: np.ndarray) -> list[int]:
         shared = len(np.intersect1d(p, s, assume_unique=True))
-        return [a, b, shared, len(p) + len(s) - shared]
+        return [*row, shared, len(p) + len(s) - shared]
+
+    return _paired(pairs, sets, sizes, "region long, a long, b long, shared long, whole long")
+
 
-    return _paired(pairs, texts, width, sizes, "a long, b long, shared long, whole long")
+def _windows(measured: DataFrame, percent: int) -> DataFrame:
+    """region, a, b, home: members of each pivot's Voronoi region (home = 1) and of the window around it. measured: region, a, b, far."""
+    own = measured.select("region", "a", F.col("a").alias("b"), F.lit(0.0).alias("far")).distinct()
+    near = measured.unionByName(own).groupBy("region", "b").agg(F.min("far").alias("near"))
+    return measured.join(near, ["region", "b"]).where(F.col("far") <= F.col("near") + 2 * (1 - percent / 100) + 1e-9).select("region", "a", "b", (F.col("far") <= F.col("near")).cast("long").alias("home"))
 
 
-def _differences(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The leading elements of the differences of members b to a pivot a: region (pivot and element), pivot, class, n (size of the set), d (of the difference), near (whether the element is in the half that nearer members need)."""
+def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The leading elements of the differences of members b to a pivot a.
 
-    def lead(a: int, b: int, p: np.ndarray, s: np.ndarray) -> np.ndarray:
+    region (of that element), frame (region and pivot), class, home, n (size of the set), d
+    (of the difference), linked (to the pivot), outer, inner (leading elements that the
+    member shows as the outer and as the inner of a pair), near (1 if the element is one of
+    the latter). Two members of different components aren't both linked to the pivot. One
+    that isn't is the outer one of a pair, in full; the inner one is linked, or not and
+    nearer. What an outer member must differ from the pivot in leaves the inner one about
+    half of its difference to miss in.
+    """
+
+    def lead(row: np.ndarray, p: np.ndarray, s: np.ndarray) -> np.ndarray:
+        region, a, b, home = row
         bound = most_differ(len(s) + len(s) * 100 // percent, percent)
         d = np.concatenate([np.setdiff1d(s, p, assume_unique=True), np.setdiff1d(p, s, assume_unique=True)])
-        own = d[: bound + 1]
-        region = mixed(own ^ mixed(np.array([a]).view(np.uint64))).view(np.int64)
-        fixed = [np.full(len(own), x) for x in (a, b, len(s), len(d))]
-        return np.stack([region, *fixed, np.arange(len(own)) <= bound // 2], axis=1)
+        whole = (len(p) + len(s) + len(d)) // 2
+        linked = 100 * (whole - len(d)) >= percent * whole
+        agree = -(-(1 + len(d) + ((len(p) - len(s)) * (100 - percent)) // (100 + percent)) // 2)
+        inner = max(0, len(d) - agree + 1)
+        outer = 0 if linked else bound + 1
+        inner = inner if linked else min(inner, bound // 2 + 1)
+        own = d[: max(inner, outer)]
+        frame = mixed(mixed(np.array([region]).view(np.uint64)) ^ np.array([a]).view(np.uint64))
+        fixed = [np.full(len(own), x) for x in (frame.view(np.int64)[0], b, home, len(s), len(d), linked, outer, inner)]
+        return np.stack([mixed(own ^ frame).view(np.int64), *fixed, np.arange(len(own)) < inner], axis=1)
 
-    return _paired(pairs, texts, width, lead, "region long, pivot long, class long, n long, d long, near long")
+    return _paired(pairs.select("region", "a", "b", "home"), sets, lead, "region long, frame long, class long, home long, n long, d long, linked long, outer long, inner long, near long")
 
 
 def most_differ(sizes: int, percent: int) -> int:
@@ -213,57 +309,104 @@ def most_differ(sizes: int, percent: int) -> int:
     return sizes * (100 - percent) // (100 + percent)
 
 
-def _candidates(found: DataFrame, named_by: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of different components that share as many leading elements as a link needs."""
-    placed = found.join(named_by, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    shared = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("near").alias("some")).where("low < high and some = 1").select("region")
-    placed = kept(placed.join(shared, "region"), "jaccard-members")
-    x, y = placed.alias("x"), placed.where("near = 1").alias("y")
-    met = x.join(y, "region").where("x.component <> y.component and (x.d > y.d or (x.d = y.d and x.class > y.class)) and 100 * least(x.n, y.n) >= %d * greatest(x.n, y.n)" % percent)
-    bound = lambda n: F.expr(f"cast(floor(({n} + floor({n} * 100 / {percent})) * {100 - percent} / {100 + percent}) as long)")
-    both = F.expr(f"cast(floor((x.n + y.n) * {100 - percent} / {100 + percent}) as long)")
+def _labelled(rows: DataFrame, labels: DataFrame | None, cls: str = "class") -> DataFrame:
+    """``rows`` with the component of the class in ``cls``: itself where nothing links it yet."""
+    if labels is None:
+        return rows.withColumn("component", F.col(cls))
+    return rows.join(labels.withColumnRenamed("class", cls), cls, "left").withColumn("component", F.coalesce("component", cls))
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """Regions with several components."""
+    return rows.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("region")
+
+
+def _candidates(placed: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of different components in small regions that share as many leading elements as a link needs."""
+    x, y = placed.where("linked = 0").alias("x"), placed.where("near = 1").alias("y")
+    met = x.join(y, "region").where("x.component <> y.component and x.home + y.home > 0 and (y.linked = 1 or x.d > y.d or (x.d = y.d and x.class > y.class)) and 100 * least(x.n, y.n) >= %d * greatest(x.n, y.n)" % percent)
+    both = F.expr(f"(x.n + y.n) * {100 - percent} div {100 + percent}")
     agree = F.ceil((F.col("x.d") + F.col("y.d") - both) / 2)
-    hidden = F.greatest(F.col("x.d") - bound("x.n") - 1, F.col("y.d") - F.floor(bound("y.n") / 2) - 1, F.lit(0))
-    count = met.groupBy("x.pivot", F.col("x.class").alias("a"), F.col("y.class").alias("b")).agg(F.count("*").alias("met"), F.first(agree - hidden).alias("needed"))
+    hidden = F.greatest(F.col("x.d") - F.col("x.outer"), F.col("y.d") - F.col("y.inner"), F.lit(0))
+    count = met.groupBy("x.frame", F.col("x.class").alias("a"), F.col("y.class").alias("b")).agg(F.count("*").alias("met"), F.first(agree - hidden).alias("needed"))
     return count.where("met >= needed").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """class, component of linked classes: the least class by minimum labels and pointer jumps."""
-    both = kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "jaccard-links")
-    labels = kept(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("class"), F.least("a", "b").alias("component")), "jaccard-labels")
+    both = _kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels = _kept(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("class"), F.least("a", "b").alias("component")), "labels")
     while True:
         heard = both.join(labels.withColumnRenamed("class", "b"), "b").groupBy(F.col("a").alias("class")).agg(F.min("component").alias("heard"))
         near = labels.join(heard, "class").select("class", F.least("component", "heard").alias("near"), F.col("component").alias("was"))
         jump = labels.select(F.col("class").alias("near"), F.col("component").alias("far"))
-        new = kept(near.join(jump, "near", "left").select("class", "was", F.least("near", F.coalesce("far", "near")).alias("component")), "jaccard-labels")
+        new = _kept(near.join(jump, "near", "left").select("class", "was", F.least("near", F.coalesce("far", "near")).alias("component")), "labels")
         if new.where("was <> component").isEmpty():
             return new.select("class", "component")
         labels = new.select("class", "component")
 
 
+def _links(docs: DataFrame, named: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """class, component of all linked classes, or None without any."""
+    scheme = Scheme(percent)
+    if percent == 100:  # equal sets are one class
+        return None
+    spread = _regions(docs, named, width, scheme)
+    sizes = spread.groupBy("region").agg(F.count("*").alias("size"))
+    order = _kept(spread.join(sizes, "region").groupBy("class").agg(F.sum("size").alias("degree")), "order")
+    sets = _sets(docs, named, order.select("class"), width)
+    linked = 100 * F.col("shared") >= percent * F.col("whole")
+    regions = _kept(_gathered(spread, order), "regions")
+    labels = None
+
+    def add(more: DataFrame) -> None:
+        """Joins the components of linked pairs."""
+        nonlocal labels
+        ends = _labelled(_labelled(more, labels, "a").withColumnRenamed("component", "x"), labels, "b")
+        apart = _kept(ends.where("x <> component").select(F.col("x").alias("a"), F.col("component").alias("b")).distinct(), "links")
+        if apart.isEmpty():
+            return
+        new = components(apart)
+        if labels is not None:
+            moved = labels.join(new.select(F.col("class").alias("component"), F.col("component").alias("to")), "component", "left").select("class", F.coalesce("to", "component").alias("component"))
+            new = _kept(moved.unionByName(new.join(labels, "class", "left_anti")), "labels")
+        labels = new
+
+    far = (1 - F.col("shared") / F.col("whole")).alias("far")
+    size, last = regions.count(), False
+    while size:
+        first = _kept(_measured(regions.select("region", F.col("region").alias("a"), F.col("class").alias("b")).where("a <> b"), sets), "measured")
+        second = _kept(_measured(_second(regions, first.select("region", "a", "b", far), percent), sets), "measured")
+        add(first.unionByName(second).where(linked).select("a", "b"))
+        settle(docs.sparkSession)
+        windows = _kept(_windows(first.unionByName(second).select("region", "a", "b", far), percent), "windows")
+        members = windows.select("region", F.col("b").alias("class")).unionByName(windows.select("region", F.col("a").alias("class"))).distinct()
+        rest = _differences(windows.join(_open(_labelled(members, labels)), "region"), sets, percent)
+        placed = _kept(_labelled(rest, labels), "differences")
+        inner, outer = F.sum("near").alias("inners"), F.sum(1 - F.col("linked")).alias("outers")
+        shared = placed.groupBy("region").agg(inner, outer, F.max("home").alias("some"), F.min("component").alias("low"), F.max("component").alias("high"))
+        shared = shared.where("low < high and inners > 0 and outers > 0 and some = 1").select("region", F.least("inners", "outers").alias("size"))
+        placed = _kept(placed.join(shared, "region"), "members")
+        small = placed if last else placed.where(F.col("size") <= SMALL)
+        found = _kept(_candidates(small, percent).select(F.lit(0).cast("long").alias("region"), "a", "b"), "candidates")
+        add(_measured(found, sets).where(linked).select("a", "b"))
+        if last:
+            break
+        large = _labelled(placed.where(F.col("size") > SMALL).select("region", "class"), labels)
+        own = large.join(_open(large), "region").join(order, "class")
+        pivots = own.groupBy("region").agg(F.max_by("class", F.struct("degree", "class")).alias("pivot"))
+        regions = _kept(own.join(pivots, "region").select(F.col("pivot").alias("region"), "class").distinct(), "regions")
+        before, size = size, regions.count()
+        last = 4 * size > before
+    return labels
+
+
 def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """id, n, class, component: the least id that links lead to (the id itself without any). docs: id, text."""
+    docs = docs.select("id", "text", F.xxhash64("id", "text").alias("key"))
     own = kept(classes(docs, width), "jaccard-classes")
-    named = own.where("class <> 0").groupBy("class").agg(F.min("id").alias("id")).where("id is not null")
-    regions = _regions(docs, named, width, Scheme(percent))
-    texts = _texts(docs, named, regions.select("class").distinct())
-    linked = 100 * F.col("shared") >= percent * F.col("whole")
-    # The class that shares most is nearest to the middle of its likes: as a pivot it explains most of them.
-    sizes = regions.groupBy("region").agg(F.count("*").alias("size"))
-    order = kept(regions.join(sizes, "region").groupBy("class").agg(F.sum("size").alias("degree")), "jaccard-order")
-    first = regions.join(order, "class").groupBy("region").agg(F.max_by("class", F.struct("degree", "class")).alias("pivot"))
-    pairs = kept(regions.join(first, "region").where("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct(), "jaccard-pairs")
-    links = kept(_measured(pairs, texts, width).where(linked).select("a", "b"), "jaccard-links")
-    named_by = components(links)
-    settle(docs.sparkSession)
-    placed = pairs.join(named_by.select(F.col("class").alias("b"), "component"), "b", "left").withColumn("component", F.coalesce("component", "b"))
-    several = placed.groupBy("a").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("a")
-    rest = kept(_differences(placed.join(several, "a"), texts, width, percent), "jaccard-rest")
-    more = kept(_measured(kept(_candidates(rest, named_by, percent), "jaccard-pairs"), texts, width).where(linked).select("a", "b"), "jaccard-links")
-    if not more.isEmpty():
-        named_by = components(links.unionByName(more))
-    whole = named.join(named_by, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    named = own.where("class <> 0").groupBy("class").agg(F.min("key").alias("key"), F.min("id").alias("id"))
+    whole = _labelled(named.select("class", "id"), _links(docs, named, width, percent))
     least = whole.groupBy("component").agg(F.min("id").alias("least"))
     final = whole.join(least, "component").select("class", "least")
-    return own.join(final, "class", "left").select("id", "n", "class", F.when(F.col("class") == 0, F.col("id")).otherwise(F.coalesce("least", "id")).alias("component"))
+    return own.drop("key").join(final, "class", "left").select("id", "n", "class", F.when(F.col("class") == 0, F.col("id")).otherwise(F.col("least")).alias("component"))
