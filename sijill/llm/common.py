@@ -57,5 +57,19 @@ def settle(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that starts as ``name`` and clashes with none of ``columns``, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def others(df: DataFrame, *results: str) -> list[str]:
+    """Columns of ``df`` that stay beside result columns: one with a result's name is replaced by the result."""
+    named = {r.lower() for r in results}
+    return [c for c in df.columns if c.lower() not in named]
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, settle
+from .common import fresh, kept, settle
 from .idtable import held, table
 from .wordhash import in_steps, mixed, spans, words
 
@@ -402,11 +402,35 @@ def _links(docs: DataFrame, named: DataFrame, width: int, percent: int) -> DataF
 
 
 def join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """id, n, class, component: the least id that links lead to (the id itself without any). docs: id, text."""
+    """id, key (xxhash64 of id and text), n, class, group, component. docs: id, text.
+
+    group is the least class that links lead to, 0 for the empty set; component is the
+    group's least id, and an empty set's own.
+    """
     docs = docs.select("id", "text", F.xxhash64("id", "text").alias("key"))
     own = kept(classes(docs, width), "jaccard-classes")
     named = own.where("class <> 0").groupBy("class").agg(F.min("key").alias("key"), F.min("id").alias("id"))
     whole = _labelled(named.select("class", "id"), _links(docs, named, width, percent))
     least = whole.groupBy("component").agg(F.min("id").alias("least"))
-    final = whole.join(least, "component").select("class", "least")
-    return own.drop("key").join(final, "class", "left").select("id", "n", "class", F.when(F.col("class") == 0, F.col("id")).otherwise(F.col("least")).alias("component"))
+    final = whole.join(least, "component").select("class", F.col("component").alias("group"), "least")
+    component = F.when(F.col("class") == 0, F.col("id")).otherwise(F.col("least"))
+    return own.join(final, "class", "left").select("id", "key", "n", "class", F.coalesce("group", F.lit(0).cast("long")).alias("group"), component.alias("component"))
+
+
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of linked texts: that with the least id (null last; of equal ids, the least hash of id and text).
+
+    Rows of one id and text are one document, of which the row with the least hash of all
+    columns stays. Texts without words are groups of their own and all stay.
+    """
+    key = fresh("key", docs.columns)
+    found = kept(join(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), width, percent).where("group <> 0").select("id", "key", "group"), "jaccard-found")
+    stays = found.groupBy("group").agg(F.count("*").alias("rows"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))["key"].alias("stays")).where("rows > 1")
+    gone = found.join(stays, "group").where("key <> stays").select(F.col("key").alias(key)).distinct()
+    left = docs.withColumn(key, F.xxhash64(F.col(id), F.col(text))).join(gone, key, "left_anti")
+    again = kept(found.groupBy("key").count().where("count > 1").select(F.col("key").alias(key)), "jaccard-again")
+    if not again.isEmpty():
+        row = F.struct(*docs.columns)
+        first = left.join(again, key).groupBy(key).agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+        left = left.join(again, key, "left_anti").drop(key).unionByName(first)
+    return left.select(*docs.columns)

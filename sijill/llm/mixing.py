@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import kept, word_count
+from .common import fresh, kept, word_count
 
 #: Bits of the hash in all, and those that one histogram resolves.
 BITS, STEP = 60, 12
@@ -88,21 +88,26 @@ def _sized(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.select(key, "source", word_count(F.col("text")).alias("size"), hash_of(F.col(key)).alias("hash"))
 
 
-def _taken(rows: DataFrame, limits: DataFrame) -> DataFrame:
-    limits = limits.withColumnRenamed("source", "_s")
-    return rows.join(limits, F.col("source").eqNullSafe(F.col("_s"))).withColumn("times", F.col("copies") + (F.col("hash") < F.col("below")).cast("long")).drop("_s")
+def _limited(rows: DataFrame, limits: DataFrame, hashed: Column) -> tuple[DataFrame, str]:
+    """``rows`` with their source's limits and times (how often a row is taken), in a struct of the name that is given back."""
+    own = fresh("limits", rows.columns)
+    source = fresh("limits_source", rows.columns)
+    limits = limits.select(F.col("source").alias(source), F.struct(*(c for c in limits.columns if c != "source")).alias(own))
+    joined = rows.join(limits, F.col("source").eqNullSafe(F.col(source))).drop(source)
+    times = F.col(own)["copies"] + (hashed < F.col(own)["below"]).cast("long")
+    return joined.withColumn(own, F.col(own).withField("times", times)), own
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken."""
     sizes = kept(_sized(docs), "mix-sizes")
-    out = _taken(sizes, thresholds(sizes, targets(sizes, **options)))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+    out, own = _limited(sizes, thresholds(sizes, targets(sizes, **options)), F.col("hash"))
+    return out.select("doc_id", "size", f"{own}.source_size", f"{own}.target", (F.col("size") * F.col(own)["times"]).alias("taken"))
 
 
 def repeat_taken(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it."""
+    """``docs`` with each row as often as the mix takes it, copies one after another."""
     sizes = kept(_sized(docs), "mix-sizes")
-    rows = docs.select(*docs.columns, hash_of(F.col("doc_id")).alias("hash"))
-    out = _taken(rows, thresholds(sizes, targets(sizes, **options)))
-    return out.where("times > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))).select(*docs.columns)
+    out, own = _limited(docs, thresholds(sizes, targets(sizes, **options)), hash_of(F.col("doc_id")))
+    copies = F.explode(F.array_repeat(F.lit(0), F.col(own)["times"].cast("int")))
+    return out.where(F.col(own)["times"] > 0).withColumn(own, copies).select(*docs.columns)

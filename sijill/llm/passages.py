@@ -21,7 +21,8 @@ their documents.
 Defined cases: null text stays null; empty texts stay; a null doc_id has the last rank;
 rows with one doc_id and text are one document (each keeps or loses the same spans),
 and those with one doc_id but other texts do not take from one another; very long texts
-are read whole; extra columns stay. An empty table gives an empty table.
+are read whole; extra columns stay, but for one named removed, which the result replaces.
+An empty table gives an empty table.
 """
 
 from collections.abc import Iterator
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, settle
+from .common import fresh, kept, others, settle
 from .idtable import held, table
 from .wordhash import in_steps, mixed, spans, words
 
@@ -166,12 +167,13 @@ def repeated(docs: DataFrame, least: int = 28, lines: bool = False) -> DataFrame
 
 def remove(docs: DataFrame, least: int = 28, lines: bool = False) -> DataFrame:
     """``docs`` with the text cut, and removed: the spans cut from the original text."""
-    key = F.xxhash64("doc_id", "text")
+    key, own, gone = F.xxhash64("doc_id", "text"), fresh("key", docs.columns), fresh("cuts", docs.columns)
+    rest = others(docs, "removed")
     cuts = repeated(docs.select(key.alias("key"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), "text"), least, lines)
-    joined = docs.select(*docs.columns, key.alias("_key")).join(cuts.withColumnRenamed("key", "_key"), "_key", "left")
-    cut, none = F.col("cuts"), F.expr("cast(array() as array<struct<begin:int,end:int,n_words:int>>)")
+    joined = docs.select(*rest, key.alias(own)).join(cuts.select(F.col("key").alias(own), F.col("cuts").alias(gone)), own, "left")
+    cut, none = F.col(gone), F.expr("cast(array() as array<struct<begin:int,end:int,n_words:int>>)")
     ends = F.concat(F.array(F.lit(0)), F.transform(cut, lambda c: c["end"]))
     begins = F.concat(F.transform(cut, lambda c: c["begin"]), F.array(F.length("text")))
     left = F.array_join(F.zip_with(ends, begins, lambda a, b: F.substring(F.col("text"), a + 1, b - a)), "")
     text = F.when(cut.isNull(), F.col("text")).otherwise(left)
-    return joined.select(*(text.alias(c) if c == "text" else c for c in docs.columns), F.coalesce(cut, none).alias("removed"))
+    return joined.select(*(text.alias(c) if c == "text" else c for c in rest), F.coalesce(cut, none).alias("removed"))

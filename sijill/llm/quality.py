@@ -2,21 +2,26 @@
 
 A text's counts become a vector: mean word length, log rate of symbols, log rate of
 repeated lines, share of words in repeated windows. For each (lang, source) a minimum
-covariance determinant estimate is made by concentration steps over all documents that
-pass the base limits: distances under the current centre and scatter, the closest
-share of rows, their mean and covariance, and again; then one reweighting. A document
+covariance determinant estimate is made over all documents that pass the base limits.
+It has three starts, fixed functions of the data: medians and quartile distances, the
+covariance of the signs of the vectors around the medians, and the rows that lie near the
+medians in every statistic. Each start takes two concentration steps: distances under
+its centre and scatter, the closest share of rows, their mean and covariance. The start
+with the least determinant goes on, in each group, until its determinant no longer falls.
+Then the estimate is reweighted once by the rows within the 97.5 % limit. A document
 whose squared Mahalanobis distance exceeds the chi-square limit is rejected.
 
-A step is one aggregation: rows are summed by (group, interval of distance), so the
-shuffle carries a few hundred sums a group whatever its share of the rows, and the
+A step is one aggregation: rows are summed by (group, start, interval of distance), so
+the shuffle carries a few hundred sums a group whatever its share of the rows, and the
 closest rows are whole intervals plus the fitting fraction of the last one. Variances
-have a floor (statistics that are 0 in all clean texts would have none). Groups with
-fewer than ``least`` rows use their language's estimate, then that of all rows; where
-those have too few rows as well, only the base limits count.
+have a floor, ``FLOORS`` (statistics that are 0 in all clean texts would have none).
+Groups with fewer than ``least`` rows use their language's estimate, then that of all
+rows; where those have too few rows as well, only the base limits count.
 
 Defined cases: null text has no words and fails the base; null lang or source is a
 group of its own; repeated rows count and are judged each; very long texts are counted
-whole; extra columns stay. An empty table gives an empty table.
+whole; extra columns stay, but for those named like a result, which the result replaces.
+An empty table gives an empty table.
 """
 
 import math
@@ -29,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import fresh, kept, others
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Least standard deviations of the four statistics.
@@ -64,7 +69,8 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pd.DataFrame([count(x) for x in batch], columns=list(COUNTS))
 
     counted = F.pandas_udf(run, ", ".join(f"{c} long" for c in COUNTS))  # type: ignore[call-overload]
-    out = docs.withColumn("_counts", counted(text)).withColumns({c: F.col(f"_counts.{c}") for c in COUNTS}).drop("_counts")
+    rest, own = others(docs, *COUNTS, "base_failed"), fresh("counts", docs.columns)
+    out = docs.select(*rest, counted(text).alias(own)).select(*rest, *(F.col(own)[c].alias(c) for c in COUNTS))
     return out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
@@ -97,13 +103,17 @@ def _groups() -> list[Column]:
     return [F.to_json(F.struct(F.lit(i).alias("level"), *cols)) for i, cols in enumerate((("lang", "source"), ("lang",), ()))]
 
 
-def _distance() -> Column:
-    gap = [F.col(f"x{i}") - F.col("centre")[i] for i in range(P)]
-    return sum((F.col("inverse")[k] * gap[i] * gap[j] * (1 if i == j else 2) for k, (i, j) in enumerate(PAIRS)), F.lit(0.0))
+def _distance(x: list[Column], centre: Column, inverse: Column) -> Column:
+    gap = [v - centre[i] for i, v in enumerate(x)]
+    return sum((inverse[k] * gap[i] * gap[j] * (1 if i == j else 2) for k, (i, j) in enumerate(PAIRS)), F.lit(0.0))
+
+
+#: The vector of a row, and its moments.
+X = [f"x{i}" for i in range(P)]
 
 
 def _fitted(sums: DataFrame, spread: float) -> DataFrame:
-    """group, n, centre, inverse from weighted sums; ``spread`` makes the scatter consistent."""
+    """group, start, n, centre, inverse, det (logarithm of the determinant) from weighted sums; ``spread`` makes the scatter consistent."""
 
     def solve(rows: pd.Series) -> pd.DataFrame:
         out = []
@@ -112,63 +122,95 @@ def _fitted(sums: DataFrame, spread: float) -> DataFrame:
             scatter = np.zeros((P, P))
             for k, (i, j) in enumerate(PAIRS):
                 scatter[i, j] = scatter[j, i] = s[1 + P + k] / s[0] - centre[i] * centre[j]
-            inverse = np.linalg.inv(spread * scatter + np.diag(np.square(FLOORS)))
-            out.append((centre, [inverse[i, j] for i, j in PAIRS]))
-        return pd.DataFrame(out, columns=["centre", "inverse"])
+            scatter = spread * scatter + np.diag(np.square(FLOORS))
+            inverse = np.linalg.inv(scatter)
+            out.append((centre, [inverse[i, j] for i, j in PAIRS], float(np.linalg.slogdet(scatter)[1])))
+        return pd.DataFrame(out, columns=["centre", "inverse", "det"])
+
+    solved = F.pandas_udf(solve, "centre array<double>, inverse array<double>, det double")  # type: ignore[call-overload]
+    return sums.where(F.col("sums")[0] > 0).withColumn("s", solved("sums")).select("group", "start", "n", "s.centre", "s.inverse", "s.det")
+
+
+def _moments(x: list[Column], weight: Column | None = None) -> list[Column]:
+    each = [*x, *(x[i] * x[j] for i, j in PAIRS)]
+    return [F.sum(m if weight is None else weight * m) for m in each]
+
 
-    solved = F.pandas_udf(solve, "centre array<double>, inverse array<double>")  # type: ignore[call-overload]
-    return sums.withColumn("_s", solved("sums")).select("group", "n", "_s.centre", "_s.inverse")
+def _starts(rows: DataFrame) -> DataFrame:
+    """The three starts of each group."""
+    quartiles = [F.percentile_approx(x, [0.25, 0.5, 0.75], 2000) for x in X]
+    found = kept(rows.groupBy("group").agg(F.count("*").alias("n"), *(q.alias(f"q{i}") for i, q in enumerate(quartiles))), "mcd-quartiles")
+    variance = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + FLOORS[i] ** 2 for i in range(P)]
+    inverse = F.array(*(1 / variance[i] if i == j else F.lit(0.0) for i, j in PAIRS))
+    middle = F.array(*(F.col(f"q{i}")[1] for i in range(P)))
+    first = found.select("group", F.lit(0).alias("start"), "n", middle.alias("centre"), inverse.alias("inverse"), F.lit(0.0).alias("det"))
+    near = rows.join(first.select("group", "n", "centre", "inverse"), "group")
+    gap = [F.col(x) - F.col("centre")[i] for i, x in enumerate(X)]
+    far = _distance([F.col(x) for x in X], F.col("centre"), F.col("inverse"))
+    sign = P / F.greatest(far, F.lit(1e-9))
+    inside = F.when(F.greatest(*(F.pow(g, 2) * F.col("inverse")[PAIRS.index((i, i))] for i, g in enumerate(gap))) <= 2.25, 1.0).otherwise(0.0)
+    # Signs have their centre at the medians, so sums of gaps are 0 and moments are those of the gaps; the medians are added again.
+    signs = near.groupBy("group").agg(F.first("n").alias("n"), F.first("centre").alias("middle"), F.array(F.count("*").cast("double"), *(F.lit(0.0) for _ in X), *_moments(gap, sign)[P:]).alias("sums"))
+    signs = _fitted(signs.select("group", F.lit(1).alias("start"), "n", "sums"), 1.0).join(first.select("group", F.col("centre").alias("middle")), "group").select("group", "start", "n", F.col("middle").alias("centre"), "inverse", "det")
+    boxed = near.groupBy("group").agg(F.first("n").alias("n"), F.array(F.sum(inside), *_moments([F.col(x) for x in X], inside)).alias("sums")).select("group", F.lit(2).alias("start"), "n", "sums")
+    return kept(first.unionByName(signs).unionByName(_fitted(boxed, 1.0)), "mcd-starts")
 
 
 def _step(rows: DataFrame, fit: DataFrame, spread: float, share: float | None = None, limit: float | None = None) -> DataFrame:
-    """One concentration: the closest ``share`` of each group, or all within ``limit``."""
-    near = rows.join(fit.select("group", "centre", "inverse"), "group").withColumn("d2", _distance())
-    moments = [F.sum(F.col(f"x{i}")) for i in range(P)] + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in PAIRS]
+    """One concentration of each start: the closest ``share`` of each group, or all within ``limit``."""
+    near = rows.join(fit.select("group", "start", "centre", "inverse"), "group").withColumn("d2", _distance([F.col(x) for x in X], F.col("centre"), F.col("inverse")))
     edge = F.floor(32 * F.log2(1 + F.col("d2"))) if limit is None else (F.col("d2") > limit).cast("long")
-    sums = near.groupBy("group", edge.alias("edge")).agg(F.count("*").alias("m"), *(x.alias(f"s{k}") for k, x in enumerate(moments)))
-    group = W.partitionBy("group")
+    moments = _moments([F.col(x) for x in X])
+    sums = near.groupBy("group", "start", edge.alias("edge")).agg(F.count("*").alias("m"), *(x.alias(f"s{k}") for k, x in enumerate(moments)))
+    group = W.partitionBy("group", "start")
     if limit is None:
         before = F.sum("m").over(group.orderBy("edge")) - F.col("m")
         weight = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (share * F.sum("m").over(group) - before) / F.col("m")))
     else:
         weight = (F.col("edge") == 0).cast("double")
     weighed = sums.withColumn("weight", weight)
-    total = weighed.groupBy("group").agg(F.sum("m").alias("n"), F.array(F.sum(F.col("weight") * F.col("m")), *(F.sum(F.col("weight") * F.col(f"s{k}")) for k in range(len(moments)))).alias("sums"))
-    return kept(_fitted(total.where(F.col("sums")[0] > 0), spread), "mcd-fit")
+    total = weighed.groupBy("group", "start").agg(F.sum("m").alias("n"), F.array(F.sum(F.col("weight") * F.col("m")), *(F.sum(F.col("weight") * F.col(f"s{k}")) for k in range(len(moments)))).alias("sums"))
+    return kept(_fitted(total, spread), "mcd-fit")
 
 
-def robust_fit(rows: DataFrame, share: float = 0.75, steps: int = 3) -> DataFrame:
+def robust_fit(rows: DataFrame, share: float = 0.75, most: int = 12, settled: float = 1e-3) -> DataFrame:
     """group, n, centre, inverse: the reweighted minimum-covariance-determinant estimate.
 
-    rows: group, x0..x3. It starts from medians and quartile distances.
+    rows: group, x0..x3. ``most`` bounds the steps after the choice of a start.
     """
-    quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i in range(P)]
-    first = rows.groupBy("group").agg(F.count("*").alias("n"), *quartiles)
-    variance = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + FLOORS[i] ** 2 for i in range(P)]
-    inverse = F.array(*(1 / variance[i] if i == j else F.lit(0.0) for i, j in PAIRS))
-    fit = kept(first.select("group", "n", F.array(*(F.col(f"q{i}")[1] for i in range(P))).alias("centre"), inverse.alias("inverse")), "mcd-fit")
     cut = chi_square_limit(1 - share, P)
-    for _ in range(steps):
-        fit = _step(rows, fit, share / chi_square_cdf(cut, P + 2), share=share)
+    spread = share / chi_square_cdf(cut, P + 2)
+    fit = _starts(rows)
+    for _ in range(2):
+        fit = _step(rows, fit, spread, share=share)
+    columns = ("start", "n", "centre", "inverse", "det")
+    fit = kept(fit.groupBy("group").agg(F.min_by(F.struct(*columns), F.struct("det", "start")).alias("best")).select("group", "best.*"), "mcd-best")
+    for _ in range(most):
+        new = _step(rows, fit, spread, share=share)
+        both = new.join(fit.select("group", F.col("det").alias("was"), F.struct(*columns).alias("old")), "group")
+        lower = F.col("det") < F.col("was")
+        fit = kept(both.select("group", (F.col("was") - F.col("det")).alias("fall"), F.when(lower, F.struct(*columns)).otherwise(F.col("old")).alias("best")).select("group", "fall", "best.*"), "mcd-best")
+        if fit.where(F.col("fall") > settled).isEmpty():
+            break
     cut = chi_square_limit(0.025, P)
-    return _step(rows, fit, 0.975 / chi_square_cdf(cut, P + 2), limit=cut)
+    return _step(rows, fit, 0.975 / chi_square_cdf(cut, P + 2), limit=cut).drop("start", "det")
 
 
 def estimates(counted: DataFrame, least: int = 30) -> DataFrame:
-    """g0 (the key of language and source), centre, inverse: each group's own fit, or the wider one it falls back to. counted: see :func:`kept_counts`."""
-    sound = _keyed(counted).where(~F.col("base_failed"))
-    fit = robust_fit(sound.select(F.explode(F.array("g0", "g1", "g2")).alias("group"), *(f"x{i}" for i in range(P)))).where(F.col("n") >= least)
-    keys = sound.select("g0", "g1", "g2").distinct()
+    """key (of language and source), centre, inverse: each group's own fit, or the wider one it falls back to. counted: see :func:`with_counts`."""
+    keys = [g.alias(f"g{i}") for i, g in enumerate(_groups())]
+    sound = counted.where(~F.col("base_failed")).select(*keys, *(x.alias(X[i]) for i, x in enumerate(_vector())))
+    fit = robust_fit(sound.select(F.explode(F.array("g0", "g1", "g2")).alias("group"), *X)).where(F.col("n") >= least)
+    wide = sound.select("g0", "g1", "g2").distinct()
     for i in range(3):
-        keys = keys.join(fit.select(F.col("group").alias(f"g{i}"), F.struct("centre", "inverse").alias(f"fit{i}")), f"g{i}", "left")
-    return kept(keys.select("g0", F.coalesce("fit0", "fit1", "fit2").alias("fit")).select("g0", "fit.*"), "mcd-chosen")
-
-
-def _keyed(counted: DataFrame) -> DataFrame:
-    return counted.withColumns({f"x{i}": x for i, x in enumerate(_vector())}).withColumns({f"g{i}": g for i, g in enumerate(_groups())})
+        wide = wide.join(fit.select(F.col("group").alias(f"g{i}"), F.struct("centre", "inverse").alias(f"fit{i}")), f"g{i}", "left")
+    return kept(wide.select(F.col("g0").alias("key"), F.coalesce("fit0", "fit1", "fit2").alias("fit")).select("key", "fit.*"), "mcd-chosen")
 
 
 def judge(counted: DataFrame, fits: DataFrame, tail: float = 1e-9) -> DataFrame:
     """``counted`` (see :func:`with_counts`) with distance and kept."""
-    out = _keyed(counted).join(fits, "g0", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
-    return out.select(*counted.columns, "distance", (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi_square_limit(tail, P))).alias("kept"))
+    key, fit = fresh("key", counted.columns), fresh("fit", counted.columns)
+    rest = others(counted, "distance", "kept")
+    out = counted.withColumn(key, _groups()[0]).join(fits.select(F.col("key").alias(key), F.struct("centre", "inverse").alias(fit)), key, "left")
+    distance = F.when(~F.col("base_failed"), _distance(_vector(), F.col(fit)["centre"], F.col(fit)["inverse"]))
+    return out.select(*rest, distance.alias("distance")).withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi_square_limit(tail, P)))

@@ -19,7 +19,8 @@ texts are scored, whole.
 Defined cases: null and empty texts have no hit and get the score of such texts;
 repeated rows are scored each; a very long text is one row; without training rows of
 both labels the lexicon is empty and every score is the share of toxic rows, 0.0 if
-there is none; extra columns stay. An empty table gives an empty table.
+there is none; extra columns stay, but for those named like a result, which the result
+replaces. An empty table gives an empty table.
 """
 
 import math
@@ -33,6 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh, others
+
 #: What separates words, besides white space.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’‚‹›…—–·•¡¿"
 _RAW = re.compile(r"[^\s]+")
@@ -292,5 +295,6 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame({"score": np.concatenate([p[0] for p in parts] or [[]]), "hits": np.concatenate([p[1] for p in parts] or [[]]).astype(int)})
 
     scored = F.pandas_udf(run, "score double, hits int")  # type: ignore[call-overload]
-    out = docs.withColumn("_scored", scored(text))
-    return out.withColumns({"score": F.col("_scored.score"), "predicted": (F.col("_scored.score") >= 0.5).cast("int"), "hits": F.col("_scored.hits")}).drop("_scored")
+    rest, own = others(docs, "score", "predicted", "hits"), fresh("scored", docs.columns)
+    out = docs.select(*rest, scored(text).alias(own))
+    return out.select(*rest, F.col(own)["score"].alias("score"), (F.col(own)["score"] >= 0.5).cast("int").alias("predicted"), F.col(own)["hits"].alias("hits"))

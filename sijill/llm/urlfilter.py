@@ -10,7 +10,8 @@ They are matched against the whole canonical URL: host, lower-cased, then path.
 
 Defined cases: a null URL or one without ``://`` has empty host and path and fits only
 globs that match the empty string; very long URLs cost their length; repeated rows are
-judged each; other columns are kept. An empty table gives an empty table.
+judged each; other columns are kept, but for those named like a result, which the
+result replaces. An empty table gives an empty table.
 """
 
 from collections.abc import Iterator, Sequence
@@ -20,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh, others
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -130,5 +133,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], blocked: Sequ
             yield pd.DataFrame({"rule": names[best], "verdict": verdict})
 
     judged = F.pandas_udf(run, "rule string, verdict string")  # type: ignore[call-overload]
-    own = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    return own.withColumn("_judged", judged(F.concat("host", "path"))).withColumns({"rule": F.col("_judged.rule"), "verdict": F.col("_judged.verdict")}).drop("_judged")
+    rest, own = others(pages, "host", "path", "rule", "verdict"), fresh("judged", pages.columns)
+    host, path = host_of(F.col(url)), path_of(F.col(url))
+    out = pages.select(*rest, host.alias("host"), path.alias("path"), judged(F.concat(host, path)).alias(own))
+    return out.select(*rest, "host", "path", F.col(own)["rule"].alias("rule"), F.col(own)["verdict"].alias("verdict"))

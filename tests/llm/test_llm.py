@@ -112,8 +112,22 @@ def test_pieces_equal_the_library(spark):
         assert r.ids == ids and r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
-    small = pieces.Encoder(open(path, "rb").read(), table=3)
-    assert small.split and [list(np.frombuffer(x, "<u4")) for x in small(["a b c d e f", "g h"])] == [sp.encode(t, add_bos=True, add_eos=True) for t in ("a b c d e f", "g h")]
+    bare = pieces.Encoder(open(path, "rb").read(), {})
+    assert bare.split and [list(np.frombuffer(x, "<u4")) for x in bare(["a b c d e f", "g h", ""])] == [sp.encode(t, add_bos=True, add_eos=True) for t in ("a b c d e f", "g h", "")]
+
+
+def test_each_word_of_the_table_is_segmented_once(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from sentencepiece import SentencePieceProcessor
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp = SentencePieceProcessor(model_file=path)
+    model = spark.sparkContext.broadcast(open(path, "rb").read())
+    texts = spark.createDataFrame([("often often often twice twice once  gap ",), (None,), ("",), ("x" * 30 + " " + "x" * 30,)], "text string")
+    rows = {r.chunk: list(np.frombuffer(bytes(r.ids), "<u4")) for r in pieces.chunk_table(texts, model).collect()}
+    assert rows == {f"▁{w}": sp.encode(w) for w in ("often", "twice")}
+    assert {r.chunk for r in pieces.chunk_table(texts, model, most=1).collect()} == {"▁often"}
+    assert pieces.chunk_table(texts.limit(0), model).count() == 0
 
 
 # Mixing -------------------------------------------------------------------------------
@@ -191,13 +205,46 @@ def test_quality_rejects_outliers_only(spark):
     assert abs(quality.chi_square_cdf(quality.chi_square_limit(0.025, 4), 4) - 0.975) < 1e-9
 
 
-def test_robust_fit_resists_a_fifth_of_outliers(spark):
+def reference_mcd(x, share=0.75, starts=60):
+    """Concentration steps over plain rows, from many random starts: centre and scatter of the least determinant."""
+    rng, h, best = np.random.default_rng(0), round(share * len(x)), None
+    spread = share / quality.chi_square_cdf(quality.chi_square_limit(1 - share, 4), 6)
+    for _ in range(starts):
+        own = x[rng.choice(len(x), 6, replace=False)]
+        for _ in range(40):
+            centre, scatter = own.mean(axis=0), spread * np.cov(own.T, bias=True) + np.diag(np.square(quality.FLOORS))
+            gap = x - centre
+            own = x[np.argsort(np.einsum("ij,jk,ik->i", gap, np.linalg.inv(scatter), gap))[:h]]
+        scatter = spread * np.cov(own.T, bias=True) + np.diag(np.square(quality.FLOORS))
+        det = np.linalg.slogdet(scatter)[1]
+        if best is None or det < best[0]:
+            best = (det, own.mean(axis=0), scatter)
+    gap = x - best[1]
+    near = x[np.einsum("ij,jk,ik->i", gap, np.linalg.inv(best[2]), gap) <= quality.chi_square_limit(0.025, 4)]
+    limit = quality.chi_square_limit(0.025, 4)
+    return near.mean(axis=0), 0.975 / quality.chi_square_cdf(limit, 6) * np.cov(near.T, bias=True) + np.diag(np.square(quality.FLOORS))
+
+
+def test_robust_fit_equals_a_reference_of_many_starts(spark):
+    """A fifth of far rows in a group, a fourth near the others in a correlated one, constant statistics, and a group of one value."""
     rng = np.random.default_rng(7)
-    x = rng.normal(0, 1, (2000, 4)) @ np.diag([1, 0.5, 2, 1]) + [5, 1, 1, 1]
-    x[:350] += 40
-    df = spark.createDataFrame([("g", *map(float, r)) for r in x], "group string, x0 double, x1 double, x2 double, x3 double")
-    fit = quality.robust_fit(df).first()
-    assert np.allclose(fit.centre, [5, 1, 1, 1], atol=0.2)
+    a = rng.normal(0, 1, (2000, 4)) @ np.diag([1, 0.5, 2, 1]) + [5, 1, 1, 1]
+    a[:350] += 40
+    b = rng.normal(0, 1, (1200, 4)) @ rng.normal(0, 1, (4, 4)) + [3, 0, 2, 1]
+    b[:290] = rng.normal(0, 0.2, (290, 4)) + [9, 6, -6, 5]
+    c = np.c_[rng.normal(6, 1, 600), np.zeros((600, 3))]
+    c[:60, 1:] = 8
+    rows = [(g, *map(float, r)) for g, x in (("a", a), ("b", b), ("c", c), ("d", np.ones((40, 4)))) for r in x]
+    df = spark.createDataFrame(rows, "group string, x0 double, x1 double, x2 double, x3 double")
+    got = {r.group: r for r in quality.robust_fit(df).collect()}
+    for g, x in (("a", a), ("b", b), ("c", c), ("d", np.ones((40, 4)))):
+        centre, scatter = reference_mcd(x)
+        inverse = np.zeros((4, 4))
+        for k, (i, j) in enumerate(quality.PAIRS):
+            inverse[i, j] = inverse[j, i] = got[g].inverse[k]
+        assert got[g].n == len(x)
+        assert np.allclose(got[g].centre, centre, atol=0.1), g
+        assert abs(np.linalg.slogdet(scatter)[1] + np.linalg.slogdet(inverse)[1]) < 0.15, g
 
 
 # Jaccard ------------------------------------------------------------------------------
@@ -244,6 +291,37 @@ def test_jaccard_components_equal_brute_force(spark, seed, width, percent):
     assert len({c for _, c in want.values()}) < len(texts) - 30
 
 
+@pytest.mark.parametrize("percent", [1, 35, 66, 70, 100])
+def test_jaccard_of_any_percent(spark, percent):
+    rng = random.Random(percent)
+    base = prose(rng, 30).split()
+    texts = [*ODD, *(" ".join(w if rng.random() > rate else rng.choice(VOCABULARY) for w in base) for rate in (0.02, 0.1, 0.3) for _ in range(12)), *(prose(rng, rng.randint(1, 12)) for _ in range(12))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    assert {r.id: (r.n, r.component) for r in jaccard.join(df, 3, percent).collect()} == brute_components(list(range(len(texts))), texts, 3, percent)
+
+
+def test_jaccard_in_hot_regions(spark, monkeypatch):
+    """Second pivots, windows, rounds and deals, in a group of copies whose edits recur, beside one passage in many texts; null and repeated ids."""
+    for name, value in (("HOT", 10), ("SMALL", 2), ("DEAL", 7)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(30)
+    base, passage = prose(rng, 70).split(), prose(rng, 30)
+    edits = [(rng.randrange(60), rng.choice(VOCABULARY)) for _ in range(9)]
+    texts = [f"{prose(rng, 40)} {passage} {prose(rng, 30)}" for _ in range(60)]
+    for _ in range(150):
+        own = list(base)
+        for at, word in rng.sample(edits, rng.randint(0, 6)):
+            own[at] = word
+        texts.append(" ".join(own))
+    texts += [t + " the end" for t in texts[:30]]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = {r.id: (r.n, r.component) for r in jaccard.join(df, 4, 85).collect()}
+    assert got == brute_components(list(range(len(texts))), texts, 4, 85)
+    same = spark.createDataFrame([(None, texts[0]), (None, texts[0] + " x"), (5, texts[0] + " x y"), (7, texts[1]), (7, texts[2]), (9, texts[2] + " z"), (None, texts[3])], "id long, text string")
+    assert sorted((str(r.id), str(r.component)) for r in jaccard.join(same, 4, 85).collect()) == [("5", "5"), ("7", "7"), ("7", "7"), ("9", "7"), ("None", "5"), ("None", "5"), ("None", "None")]
+
+
 def test_jaccard_empty(spark):
     assert jaccard.join(spark.createDataFrame([], "id long, text string")).count() == 0
 
@@ -383,3 +461,35 @@ def test_revisits(spark):
         else:
             assert got[r[0]].outcome == "missing"
     assert revisits.resolve(df.limit(0)).count() == 0
+
+
+# Names -------------------------------------------------------------------------------
+
+
+CLASHES = ["cuts", "removed", "key", "rank", "digest", "centre", "inverse", "distance", "kept", "x0", "g0", "n_words", "counts", "base_failed", "hash", "target", "times", "limits", "limits_source", "copies", "below", "size", "n_tokens", "ids", "scored", "score", "hits", "host", "path", "judged", "rule", "fit", "row", "group", "class", "component", "n", "_key", "_copy", "_s"]
+
+
+def test_clashing_columns_are_kept_or_replaced(spark):
+    """Extra columns keep their values, but for those named like a result."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    rng = random.Random(40)
+    texts = [prose(rng, rng.randint(40, 90)) for _ in range(8)] + [None, "", "a"]
+    docs = frame(spark, [*texts, texts[0]]).withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")) for c in CLASHES})
+    model = toxicity.Model(toxicity.Lexicon({}), np.zeros(6), 0.0)
+    counted = quality.with_counts(docs)
+    made = {
+        "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed distance kept": quality.judge(counted, quality.estimates(counted)),
+        "removed text": passages.remove(docs, lines=True),
+        "": mixing.repeat_taken(docs),
+        " ": jaccard.one_of_each(docs),
+        "n_tokens ids_sha256 decoded_sha256 ids": pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_ids=True),
+        "score predicted hits": toxicity.score(docs, model),
+        "host path rule verdict": urlfilter.judge(docs, [], [], url="text"),
+    }
+    for results, df in made.items():
+        assert len(set(df.columns)) == len(df.columns), results
+        stay = [c for c in CLASHES if c not in results.split()]
+        assert set(stay) < set(df.columns), results
+        rows = df.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in stay), results
+        assert not any(r[c] == f"{c} {r.doc_id}" for r in rows for c in results.split() if c in CLASHES), results
