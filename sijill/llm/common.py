@@ -14,7 +14,18 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of a batch that crosses to a Python worker: texts are held few at a time on both sides.
+BATCH, BATCH_KEY = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the session's batches to ``BATCH`` rows, unless they are smaller already."""
+    if not 0 < int(spark.conf.get(BATCH_KEY)) <= BATCH:
+        spark.conf.set(BATCH_KEY, BATCH)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -44,6 +55,7 @@ def _remove(spark: SparkSession, path: str) -> None:
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage and survives lost executors."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_dir(spark)}/sijill/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
@@ -51,6 +63,11 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def sent(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """``df``, a kept table of numbers, to be broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def settle(spark: SparkSession) -> None:
     """Lets the cluster drop shuffle files that only finished steps needed: it does so when the driver's references are collected."""
     gc.collect()

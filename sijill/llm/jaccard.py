@@ -147,7 +147,7 @@ def classes(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at, part in in_steps(b.column(1).to_pylist()):
+            for at, part in in_steps(b.column(1)):
                 sets = sets_of(part, width)
                 ids, keys = (b.column(i).slice(at, len(part)) for i in (0, 2))
                 yield pa.RecordBatch.from_arrays([ids, keys, pa.array(map(len, sets), pa.int64()), pa.array(map(_class, sets), pa.int64())], names=["id", "key", "n", "class"])
@@ -155,48 +155,64 @@ def classes(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, key long, n long, class long")
 
 
-def _chosen(docs: DataFrame, keys: DataFrame, width: int, what, schema: str) -> DataFrame:
-    """``what(classes, sets)``, as columns of ``schema``, for the rows that a bit table of ``keys`` holds."""
+def _chosen(docs: DataFrame, keys: DataFrame, width: int, what, schema: str, fold=None) -> DataFrame:
+    """``what(classes, sets)``, as arrays for the columns of ``schema``, for the rows that a bit table of ``keys`` holds. fold: makes one row set of those of a batch."""
     held_keys = docs.sparkSession.sparkContext.broadcast(table(keys))
     names = [f.split(" ")[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             b = b.filter(pa.array(held(held_keys.value, b.column(1).to_numpy(zero_copy_only=False))))
-            for _, part in in_steps(b.column(0).to_pylist()):
+            own = []
+            for _, part in in_steps(b.column(0)):
                 sets = sets_of(part, width)
-                yield pa.RecordBatch.from_arrays(what(np.fromiter(map(_class, sets), np.int64, len(sets)), sets), names=names)
+                out = what(np.fromiter(map(_class, sets), np.int64, len(sets)), sets)
+                if fold:
+                    own.append(out)
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in fold(*map(np.concatenate, zip(*own, strict=True)))], names=names)
 
     return docs.select("text", "key").mapInArrow(run, schema)
 
 
+def _ends(mark: np.ndarray, cls: np.ndarray) -> list[np.ndarray]:
+    """Each mark once, with its least and its greatest class."""
+    order = np.lexsort((cls, mark))
+    mark, cls = mark[order], cls[order]
+    first = np.flatnonzero(np.append(True, mark[1:] != mark[:-1])) if len(mark) else order
+    return [mark[first], cls[first], cls[np.append(first[1:], len(mark)) - 1] if len(mark) else cls]
+
+
 def _regions(docs: DataFrame, named: DataFrame, width: int, scheme: Scheme) -> DataFrame:
     """region, class: every signature that several classes have, with those classes."""
     spark = docs.sparkSession
 
-    def emitted(bits=None):
-        def what(classes: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
-            marks = [scheme.signatures(s) for s in sets]
-            cls = np.repeat(classes, list(map(len, marks)))
-            mark = np.concatenate(marks) if marks else np.zeros(0, np.uint64)
-            if bits is not None:
-                there = held(bits.value, mark)
-                mark, cls = mark[there], cls[there]
-            return [pa.array(mark.view(np.int64)), pa.array(cls)]
-
-        return _chosen(docs, named.select("key"), width, what, "region long, class long")
+    def marked(classes: np.ndarray, sets: list[np.ndarray]) -> list[np.ndarray]:
+        marks = [scheme.signatures(s) for s in sets]
+        return [np.concatenate([*marks, np.zeros(0, np.uint64)]).view(np.int64), np.repeat(classes, list(map(len, marks)))]
 
     # A class is to count once here: of a group of copies, one row speaks, and only rows that the table can't tell from it.
-    shared = kept(emitted().groupBy("region").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("region"), "jaccard-shared")
+    # Signatures are summed up in each batch; most are of one class, so sums over a whole map task would be a table of all of them.
+    found = _chosen(docs, named.select("key"), width, marked, "region long, low long, high long", _ends).repartition("region")
+    shared = kept(found.groupBy("region").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("region"), "jaccard-shared")
     settle(spark)
-    return kept(emitted(spark.sparkContext.broadcast(table(shared))).join(shared, "region").distinct(), "jaccard-spread")
+    bits = spark.sparkContext.broadcast(table(shared))
+
+    def held_only(classes: np.ndarray, sets: list[np.ndarray]) -> list[np.ndarray]:
+        mark, cls = marked(classes, sets)
+        there = held(bits.value, mark)
+        return [mark[there], cls[there]]
+
+    return kept(_chosen(docs, named.select("key"), width, held_only, "region long, class long").join(shared, "region").distinct(), "jaccard-spread")
 
 
 def _sets(docs: DataFrame, named: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """class, set for the classes in ``wanted``."""
 
-    def what(classes: np.ndarray, sets: list[np.ndarray]) -> list[pa.Array]:
-        return [pa.array(classes), _lists(sets)]
+    def what(classes: np.ndarray, sets: list[np.ndarray]) -> list:
+        return [classes, _lists(sets)]
 
     found = _chosen(docs, named.join(wanted, "class").select("key"), width, what, "class long, set array<long>")
     return kept(found.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "jaccard-sets")

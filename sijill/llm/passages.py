@@ -28,7 +28,6 @@ An empty table gives an empty table.
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,17 +98,26 @@ def units_of(texts: list[str], lines: bool = False) -> dict[str, np.ndarray]:
         "following": following,
         "n_words": to - at,
         "pieces": pieces,
-        "again": pd.DataFrame({"t": text, "d": digest}).duplicated().to_numpy(),
+        "again": _again(text, digest),
     }
 
 
+def _again(text: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Whether an earlier unit of the text has the digest."""
+    order = np.lexsort((digest, text))  # stable
+    text, digest = text[order], digest[order]
+    out = np.zeros(len(order), bool)
+    out[order[1:]] = (text[1:] == text[:-1]) & (digest[1:] == digest[:-1])
+    return out
+
+
 def units(docs: DataFrame, among=None, lines: bool = False) -> DataFrame:
     """docs: key, rank, text. One row a unit, with the document's key and rank. among: a table of digests to which units are limited, but for those that repeat within their text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, ranks = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for at, part in in_steps(b.column(2).to_pylist()):
+            for at, part in in_steps(b.column(2)):
                 u = units_of(part, lines)
                 if among is not None:
                     there = u["again"].astype(bool) | held(among.value, u["digest"].astype(np.int64))
@@ -122,9 +130,11 @@ def units(docs: DataFrame, among=None, lines: bool = False) -> DataFrame:
 
 
 def _cuts(least: int):
-    def run(rows: pd.Series) -> pd.Series:
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("n_words", pa.int32())]))
+
+    def run(rows: pa.Array) -> pa.Array:
         out = []
-        for found in rows:
+        for found in rows.to_pylist():
             gone = {n for u in found for n in range(u["number"], u["number"] + u["pieces"])}
             runs: list[list] = []
             number = -2
@@ -148,9 +158,9 @@ def _cuts(least: int):
                     cuts[-1][1] = u["following"]
                     cuts[-1][2] += u["n_words"]
             out.append([{"begin": b, "end": e, "n_words": n} for b, e, n in cuts])
-        return pd.Series(out)
+        return pa.array(out, kind)
 
-    return F.pandas_udf(run, "array<struct<begin:int,end:int,n_words:int>>")  # type: ignore[call-overload]
+    return F.arrow_udf(run, "array<struct<begin:int,end:int,n_words:int>>")  # type: ignore[call-overload]
 
 
 def repeated(docs: DataFrame, least: int = 28, lines: bool = False) -> DataFrame:

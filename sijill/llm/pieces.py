@@ -144,7 +144,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep_ids: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder()
         for b in batches:
-            for at, part in in_steps(b.column(len(rest)).to_pylist()):
+            for at, part in in_steps(b.column(len(rest))):
                 first = [i for i in range(len(part)) if not i or part[i] != part[i - 1]]
                 times = np.diff([*first, len(part)])
                 ids = enc([part[i] for i in first])

@@ -29,12 +29,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fresh, kept, others
+from .common import fresh, kept, others, sent
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Least standard deviations of the four statistics.
@@ -64,11 +64,12 @@ def count(text: str | None) -> tuple[int, int, int, int, int]:
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the five counts and base_failed."""
 
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.DataFrame([count(x) for x in batch], columns=list(COUNTS))
+            found = np.array([count(x.as_py()) for x in batch], np.int64).reshape(-1, len(COUNTS))
+            yield pa.StructArray.from_arrays([pa.array(c) for c in found.T], names=list(COUNTS))
 
-    counted = F.pandas_udf(run, ", ".join(f"{c} long" for c in COUNTS))  # type: ignore[call-overload]
+    counted = F.arrow_udf(run, ", ".join(f"{c} long" for c in COUNTS))  # type: ignore[call-overload]
     rest, own = others(docs, *COUNTS, "base_failed"), fresh("counts", docs.columns)
     out = docs.select(*rest, counted(text).alias(own)).select(*rest, *(F.col(own)[c].alias(c) for c in COUNTS))
     return out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
@@ -115,19 +116,21 @@ X = [f"x{i}" for i in range(P)]
 def _fitted(sums: DataFrame, spread: float) -> DataFrame:
     """group, start, n, centre, inverse, det (logarithm of the determinant) from weighted sums; ``spread`` makes the scatter consistent."""
 
-    def solve(rows: pd.Series) -> pd.DataFrame:
+    kind = pa.struct([("centre", pa.list_(pa.float64())), ("inverse", pa.list_(pa.float64())), ("det", pa.float64())])
+
+    def solve(rows: pa.Array) -> pa.Array:
         out = []
-        for s in rows:
+        for s in rows.to_pylist():
             centre = np.array(s[1 : 1 + P]) / s[0]
             scatter = np.zeros((P, P))
             for k, (i, j) in enumerate(PAIRS):
                 scatter[i, j] = scatter[j, i] = s[1 + P + k] / s[0] - centre[i] * centre[j]
             scatter = spread * scatter + np.diag(np.square(FLOORS))
             inverse = np.linalg.inv(scatter)
-            out.append((centre, [inverse[i, j] for i, j in PAIRS], float(np.linalg.slogdet(scatter)[1])))
-        return pd.DataFrame(out, columns=["centre", "inverse", "det"])
+            out.append({"centre": centre.tolist(), "inverse": [float(inverse[i, j]) for i, j in PAIRS], "det": float(np.linalg.slogdet(scatter)[1])})
+        return pa.array(out, kind)
 
-    solved = F.pandas_udf(solve, "centre array<double>, inverse array<double>, det double")  # type: ignore[call-overload]
+    solved = F.arrow_udf(solve, "centre array<double>, inverse array<double>, det double")  # type: ignore[call-overload]
     return sums.where(F.col("sums")[0] > 0).withColumn("s", solved("sums")).select("group", "start", "n", "s.centre", "s.inverse", "s.det")
 
 
@@ -144,7 +147,7 @@ def _starts(rows: DataFrame) -> DataFrame:
     inverse = F.array(*(1 / variance[i] if i == j else F.lit(0.0) for i, j in PAIRS))
     middle = F.array(*(F.col(f"q{i}")[1] for i in range(P)))
     first = found.select("group", F.lit(0).alias("start"), "n", middle.alias("centre"), inverse.alias("inverse"), F.lit(0.0).alias("det"))
-    near = rows.join(first.select("group", "n", "centre", "inverse"), "group")
+    near = rows.join(sent(first.select("group", "n", "centre", "inverse")), "group")
     gap = [F.col(x) - F.col("centre")[i] for i, x in enumerate(X)]
     far = _distance([F.col(x) for x in X], F.col("centre"), F.col("inverse"))
     sign = P / F.greatest(far, F.lit(1e-9))
@@ -158,7 +161,7 @@ def _starts(rows: DataFrame) -> DataFrame:
 
 def _step(rows: DataFrame, fit: DataFrame, spread: float, share: float | None = None, limit: float | None = None) -> DataFrame:
     """One concentration of each start: the closest ``share`` of each group, or all within ``limit``."""
-    near = rows.join(fit.select("group", "start", "centre", "inverse"), "group").withColumn("d2", _distance([F.col(x) for x in X], F.col("centre"), F.col("inverse")))
+    near = rows.join(sent(fit.select("group", "start", "centre", "inverse")), "group").withColumn("d2", _distance([F.col(x) for x in X], F.col("centre"), F.col("inverse")))
     edge = F.floor(32 * F.log2(1 + F.col("d2"))) if limit is None else (F.col("d2") > limit).cast("long")
     moments = _moments([F.col(x) for x in X])
     sums = near.groupBy("group", "start", edge.alias("edge")).agg(F.count("*").alias("m"), *(x.alias(f"s{k}") for k, x in enumerate(moments)))
@@ -211,6 +214,6 @@ def judge(counted: DataFrame, fits: DataFrame, tail: float = 1e-9) -> DataFrame:
     """``counted`` (see :func:`with_counts`) with distance and kept."""
     key, fit = fresh("key", counted.columns), fresh("fit", counted.columns)
     rest = others(counted, "distance", "kept")
-    out = counted.withColumn(key, _groups()[0]).join(fits.select(F.col("key").alias(key), F.struct("centre", "inverse").alias(fit)), key, "left")
+    out = counted.withColumn(key, _groups()[0]).join(sent(fits.select(F.col("key").alias(key), F.struct("centre", "inverse").alias(fit))), key, "left")
     distance = F.when(~F.col("base_failed"), _distance(_vector(), F.col(fit)["centre"], F.col(fit)["inverse"]))
     return out.select(*rest, distance.alias("distance")).withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi_square_limit(tail, P)))

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -289,12 +289,13 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with score, predicted and hits. The model's size is bounded by the training rows."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [sent.value.scores(batch.iloc[at : at + 500].tolist()) for at in range(0, len(batch), 500)]
-            yield pd.DataFrame({"score": np.concatenate([p[0] for p in parts] or [[]]), "hits": np.concatenate([p[1] for p in parts] or [[]]).astype(int)})
+            parts = [sent.value.scores(batch[at : at + 500].to_pylist()) for at in range(0, len(batch), 500)]
+            score, hits = (np.concatenate([p[i] for p in parts] or [[]]) for i in (0, 1))
+            yield pa.StructArray.from_arrays([pa.array(score.astype(float)), pa.array(hits.astype(np.int32))], names=["score", "hits"])
 
-    scored = F.pandas_udf(run, "score double, hits int")  # type: ignore[call-overload]
+    scored = F.arrow_udf(run, "score double, hits int")  # type: ignore[call-overload]
     rest, own = others(docs, "score", "predicted", "hits"), fresh("scored", docs.columns)
     out = docs.select(*rest, scored(text).alias(own))
     return out.select(*rest, F.col(own)["score"].alias("score"), (F.col(own)["score"] >= 0.5).cast("int").alias("predicted"), F.col(own)["hits"].alias("hits"))

@@ -17,7 +17,7 @@ result replaces. An empty table gives an empty table.
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,18 +121,18 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], blocked: Sequ
     longest = sorted(range(len(rules)), key=lambda i: -len(names[i]))
     machine = ShiftAnd(globs) if globs else None
 
-    def run(urls: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(urls: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in urls:
-            hits = machine.match(batch.tolist()) if machine else np.zeros((len(batch), 0), bool)
+            hits = machine.match(batch.to_pylist()) if machine else np.zeros((len(batch), 0), bool)
             best = np.full(len(batch), len(rules))
             for i in reversed(longest):
                 best[hits[:, 2 * i] | hits[:, 2 * i + 1]] = i
             verdict = np.where(hits[:, 2 * len(rules) :].any(axis=1), "block", "allow").astype(object)
             ruled = best < len(rules)
             verdict[ruled] = says[best[ruled]] if len(rules) else verdict[ruled]
-            yield pd.DataFrame({"rule": names[best], "verdict": verdict})
+            yield pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(verdict.tolist(), pa.string())], names=["rule", "verdict"])
 
-    judged = F.pandas_udf(run, "rule string, verdict string")  # type: ignore[call-overload]
+    judged = F.arrow_udf(run, "rule string, verdict string")  # type: ignore[call-overload]
     rest, own = others(pages, "host", "path", "rule", "verdict"), fresh("judged", pages.columns)
     host, path = host_of(F.col(url)), path_of(F.col(url))
     out = pages.select(*rest, host.alias("host"), path.alias("path"), judged(F.concat(host, path)).alias(own))

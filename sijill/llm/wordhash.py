@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
@@ -89,14 +90,16 @@ def words(texts: list[str], full: bool) -> Words:
     return Words(codes, first, np.searchsorted(first, begin, "right") - 1, begin, end, spans(mixed(low.astype(np.uint64)), begin, end))
 
 
-def in_steps(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    """Slices of a batch of about STEP characters, with the place of the first; null counts as ''."""
+def in_steps(texts: pa.Array | list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """Slices of a column of about STEP characters, with the place of the first; null counts as ''. Only a slice is held as strings."""
     at, part, size = 0, [], 0
-    for i, x in enumerate(texts):
-        part.append(x or "")
-        size += len(part[-1])
-        if size >= STEP:
-            yield at, part
-            at, part, size = i + 1, [], 0
+    for low in range(0, len(texts), 64):
+        few = texts[low : low + 64]
+        for i, x in enumerate(few if isinstance(few, list) else few.to_pylist(), low):
+            part.append(x or "")
+            size += len(part[-1])
+            if size >= STEP:
+                yield at, part
+                at, part, size = i + 1, [], 0
     if part:
         yield at, part
