@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import argparse
+import contextlib
+import os
+import shutil
 import sys
+import uuid
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -22,7 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     add = lambda name, *args: [c := sub.add_parser(name), [c.add_argument(*a, **k) for a, k in args]][0]
     out, dry = (("--out",), {"default": "laws"}), (("--dry-run",), {"action": "store_true"})
-    add("import", out, (("urls",), {"nargs": "*"}), (("--pages",), {"required": True}), (("--from-file",), {}), (("--done",), {}), (("--resume",), {"action": "store_true"}), (("--limit",), {"type": int}), (("--category",), {}), (("--report",), {}))
+    add("import", out, (("urls",), {"nargs": "*"}), (("--pages",), {}), (("--from-file",), {}), (("--done",), {}), (("--failed",), {}), (("--resume",), {"action": "store_true"}), (("--check-updates",), {"action": "store_true"}), (("--limit",), {"type": int}), (("--category",), {}), (("--report",), {}), (("--discover",), {"action": "store_true"}), (("--maps",), {}), (("--include-updates",), {"action": "store_true"}), (("--html",), {}), (("--source",), {}), (("--url",), {}))
     add("discover", (("--maps",), {"required": True}), (("--source",), {"required": True}), (("--include-updates",), {"action": "store_true"}), (("--to",), {}))
     for name in ("reclassify", "audit-duplicates", "canonicalize-urls"):
         add(name, out, dry)
@@ -38,39 +42,76 @@ def main(argv: list[str] | None = None) -> int:
     return globals()[f"_{args.command.replace('-', '_')}"](spark, args)
 
 
+@contextlib.contextmanager
+def _settled(df, root: str):
+    """``df`` as a table beside the corpus, while files that it was made from are changed."""
+    at = os.path.join(root, f"_settled-{uuid.uuid4().hex}")
+    try:
+        df.write.parquet(at)
+        yield df.sparkSession.read.schema(df.schema).parquet(at)
+    finally:
+        shutil.rmtree(at, ignore_errors=True)
+
+
 def _current(spark: SparkSession, root: str):
     read = files.read_corpus(spark, root)
     return read.select(canonical_url(read_text(F.col("text"), "source_url")).alias("url"), "path", "text").where("url is not null")
 
 
-def _import(spark: SparkSession, args) -> int:
-    own = spark.createDataFrame(list(enumerate(args.urls)), "ord int, url string")
-    links = files.union_links(own, *([files.read_links(spark, args.from_file)] if args.from_file else []))
-    current = _current(spark, args.out)
-    done = files.read_done(spark, args.done) if args.done else None
-    if args.resume:
-        seen = current.select("url")
-        done = seen if done is None else done.unionByName(seen)
-    made = plan(links, spark.read.parquet(args.pages), current, done, args.category)
-    results = made.results if not args.limit else corpus.until_successes(made.results, args.limit, F.col("status") != "failed")
-    merged = made.merged if not args.limit else made.merged.join(results.select("url"), "url", "left_semi")
-    changed = merged.where("action in ('added', 'updated', 'moved')").persist()
-    render.export(changed, args.out)
-    _move(changed.where("action = 'moved'").select(F.col("old_path").alias("path")), args.out)
-    said = report.summary(results, datetime.now().isoformat(timespec="seconds"))
-    if args.report:
-        with open(args.report, "w", encoding="utf-8") as f:
-            f.write(said)
-    print(said)
-    return int(not results.where("status = 'failed'").isEmpty())
-
-
-def _move(old, root: str) -> None:
-    import os
+def _pages(spark: SparkSession, args):
+    """Landed pages, or one local file of HTML in their place."""
+    if not args.html:
+        return spark.read.parquet(args.pages)
+    with open(args.html, encoding="utf-8") as f:
+        return spark.createDataFrame([(args.url, f.read())], "url string, html string")
+
 
-    for r in old.toLocalIterator():
-        os.remove(os.path.join(root, r.path))
-        render.prune(os.path.dirname(os.path.join(root, r.path)), root)
+def _import(spark: SparkSession, args) -> int:
+    """Everything that is read of the corpus is settled in a folder of its own before the first file is changed: new texts are written, then old paths removed, then the logs."""
+    if args.html and not args.url or not (args.html or args.pages) or args.discover and not (args.maps and args.source):
+        print("--html needs --url, --discover needs --maps and --source; else give --pages", file=sys.stderr)
+        return 2
+    own = spark.createDataFrame(list(enumerate([*args.urls, *([args.url] if args.html else [])])), "ord int, url string")
+    lists = [own, *([files.read_links(spark, args.from_file)] if args.from_file else [])]
+    if args.discover:
+        source = get(args.source, parse.SOURCES)
+        lists.append(sitemap.discover(spark.read.parquet(args.maps), source.sitemap, source.hosts, args.include_updates))
+    links = files.union_links(*lists)
+    staging = os.path.join(args.out, f"_import-{uuid.uuid4().hex}")
+
+    def keep(df, name: str):
+        df.write.parquet(f"{staging}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+
+    state = os.path.join(args.out, "_refresh")
+    known = spark.read.parquet(state) if os.path.isdir(state) else spark.createDataFrame([], "url string, etag string, digest string")
+    try:
+        current = keep(_current(spark, args.out), "current")
+        done = files.read_done(spark, args.done) if args.done and os.path.exists(args.done) else None
+        if args.resume:
+            seen = current.select("url")
+            done = seen if done is None else done.unionByName(seen)
+        made = plan(links, _pages(spark, args), current, done, args.category, known if args.check_updates else None, keep)
+        results = keep(made.results if not args.limit else corpus.until_successes(made.results, args.limit, F.col("status") != "failed"), "results")
+        taken = made.merged.join(results.select("url"), "url", "left_semi")
+        changed = keep(taken.where("action in ('added', 'updated', 'moved')"), "changed")
+        marks = made.marks.join(results.where("status = 'ok'").select("url"), "url", "left_semi")
+        marks = keep(marks.unionByName(known.join(marks.select("url"), "url", "left_anti")), "marks")
+        skipped = links.count() - made.asked.count()
+        render.export(changed, args.out)
+        render.remove(changed.where("action = 'moved'").select(F.col("old_path").alias("path")).join(changed.select("path"), "path", "left_anti"), args.out)
+        marks.write.mode("overwrite").parquet(state)
+        for log, status in ((args.done, "status <> 'failed'"), (args.failed, "status = 'failed'")):
+            if log:
+                files.append_lines((r.url for r in results.where(status).select("url").toLocalIterator()), log)
+        said = report.summary(results, datetime.now().isoformat(timespec="seconds"), skipped)
+        if args.report:
+            with open(args.report, "w", encoding="utf-8") as f:
+                f.write(said)
+        print(said)
+        return int(not results.where("status = 'failed'").isEmpty())
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)
 
 
 def _discover(spark: SparkSession, args) -> int:
@@ -87,10 +128,11 @@ def _reclassify(spark: SparkSession, args) -> int:
     for r in moves.groupBy("action").count().collect():
         print(r.action, r["count"])
     if not args.dry_run:
-        due = moves.where("action in ('move', 'fields')").join(read.select("path", "text"), "path")
         text = set_field(set_field(F.col("text"), "doc_type", F.col("new_type")), "category", F.col("new_category"))
-        render.export(due.select(F.col("new_path").alias("path"), text.alias("text")), args.out)
-        _move(due.where("action = 'move'").select("path"), args.out)
+        due = moves.where("action in ('move', 'fields')").join(read.select("path", "text"), "path").select("path", "new_path", "action", text.alias("text"))
+        with _settled(due, args.out) as due:
+            render.export(due.select(F.col("new_path").alias("path"), "text"), args.out)
+            render.remove(due.where("action = 'move'").select("path"), args.out)
     return 0
 
 
@@ -99,7 +141,8 @@ def _audit_duplicates(spark: SparkSession, args) -> int:
     due = corpus.siblings(read).where("touched")
     print(corpus.duplicate_groups(read).count(), due.count())
     if not args.dry_run:
-        render.export(due.join(read.select("path", "text"), "path").select("path", set_list(F.col("text"), "also_available_from", F.col("siblings")).alias("text")), args.out)
+        with _settled(due.join(read.select("path", "text"), "path").select("path", set_list(F.col("text"), "also_available_from", F.col("siblings")).alias("text")), args.out) as made:
+            render.export(made, args.out)
     return 0
 
 
@@ -109,7 +152,8 @@ def _canonicalize_urls(spark: SparkSession, args) -> int:
     print(due.where("url_changed").count(), due.where("list_changed").count())
     if not args.dry_run:
         text = set_list(set_field(F.col("text"), "source_url", F.col("source_url")), "also_available_from", F.col("also_available_from"))
-        render.export(due.join(read.select("path", "text"), "path").select("path", text.alias("text")), args.out)
+        with _settled(due.join(read.select("path", "text"), "path").select("path", text.alias("text")), args.out) as made:
+            render.export(made, args.out)
     return 0
 
 

@@ -73,58 +73,58 @@ def _shaped(df: DataFrame) -> DataFrame:
 
 
 def headed_documents(pages: DataFrame, source: str) -> DataFrame:
-    """Pages whose articles are headings followed by paragraphs.
+    """Pages whose articles are headings followed by paragraphs; url is unique.
 
     A heading starts a segment (a running count), its kind is carried over the segment,
     and parts and chapters are carried forward to the articles after them: windows over
-    one page, all in one partitioning by URL.
+    one page. A page's lines then meet in one row, beside its blocks, which travel with a
+    line of their own, so that a page is read once and nothing is joined. All windows and
+    the one aggregate share a partitioning by URL.
     """
-    read = _read(pages)
-    page, order = W.partitionBy("url"), W.partitionBy("url").orderBy("ord")
-    text = strip_cms_label(F.col("b.text"))
-    rows = read.select("url", F.posexplode("found").alias("ord", "b")).where((F.col("b.kind") == "block") & (F.col("b.tag") != "table") & ~F.col("b.in_list")).select("url", "ord", "b.tag", text.alias("text")).where("text <> ''")
-    t, heading = F.col("text"), F.col("tag").isin(*HEADINGS)
+    none = F.lit(None).cast("string")
+    lines = F.filter(F.transform("found", lambda b, i: F.struct(i.alias("ord"), b.alias("b"))), lambda x: (x["b"]["kind"] == "block") & (x["b"]["tag"] != "table") & ~x["b"]["in_list"])
+    lines = F.transform(lines, lambda x: F.struct(x["ord"].alias("ord"), x["b"]["tag"].alias("tag"), strip_cms_label(x["b"]["text"]).alias("text"), F.when(F.lit(False), F.col("found")).alias("page")))
+    first = F.struct(F.lit(-1).alias("ord"), none.alias("tag"), none.alias("text"), F.col("found").alias("page"))
+    rows = _read(pages).select("url", F.explode(F.concat(F.array(first), lines)).alias("line")).select("url", "line.*").where("page is not null or text <> ''")
+    order = W.partitionBy("url").orderBy("ord")
+    t, heading = F.col("text"), F.coalesce(F.col("tag").isin(*HEADINGS), F.lit(False))
     kind = (
         F.when(heading & t.rlike(ARTICLE), "article").when(heading & t.rlike(CLAUSE), "clause").when(heading & t.startswith(PART), "part").when(heading & t.startswith(CHAPTER), "chapter").when(heading, "other")
-        .when(t.rlike(GAZETTE), "gazette").when(t.rlike(ISSUED_IN), "issued").when(t.rlike(SIGNER), "signer").otherwise("text")
+        .when(t.rlike(GAZETTE), "gazette").when(t.rlike(ISSUED_IN), "issued").when(t.rlike(SIGNER), "signer").when(t.isNotNull(), "text")
     )
-    rows = rows.withColumn("kind", kind).withColumn("segment", F.sum(F.when(heading, 1).otherwise(0)).over(order)).withColumn("part_no", F.count(F.when(F.col("kind") == "part", 1)).over(order))
+    rows = rows.withColumns({"heading": heading, "kind": kind})
+    rows = rows.withColumns({"segment": F.sum(F.col("heading").cast("int")).over(order), "part_no": F.count(F.when(F.col("kind") == "part", 1)).over(order), "part": F.last(F.when(F.col("kind") == "part", t), True).over(order)})
     rows = rows.withColumns({
-        "part": F.last(F.when(F.col("kind") == "part", t), True).over(order),
         "chapter": F.last(F.when(F.col("kind") == "chapter", t), True).over(W.partitionBy("url", "part_no").orderBy("ord")),
-        "of": F.first(F.when(heading, F.col("kind")), True).over(W.partitionBy("url", "segment")),
+        "of": F.first(F.when(F.col("heading"), F.col("kind")), True).over(W.partitionBy("url", "segment")),
     })
-    number = strip(F.when(F.col("kind") == "article", F.regexp_extract("text", ARTICLE, 1)).otherwise(F.regexp_extract("text", CLAUSE, 1)))
-    inside = F.col("of").isin("article", "clause")
-    pieces = rows.where(inside).groupBy("url", "segment").agg(
-        F.first("of").alias("of"),
-        F.max(F.when(heading, number)).alias("number"),
-        F.max(F.when(heading & (F.col("of") == "article"), present(F.concat_ws(" — ", "part", "chapter")))).alias("section"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct("ord", "text")))), lambda x: x["text"]), "\n\n").alias("text"),
-    )
-    pieces, parsed = pieces.withColumn("parsed", parse_label(F.col("number"))), F.col("parsed")
-    article = F.col("of") == "article"
-    entry = F.struct("number", "text", F.when(article, parsed["number"]).alias("number_int"), (article & parsed["is_bis"]).alias("is_bis"), "section", F.expr("cast(array() as array<string>)").alias("amendment_history"))
-    listed = lambda of: F.transform(F.array_sort(F.collect_list(F.when(F.col("of") == of, F.struct("segment", entry.alias("a"))))), lambda x: x["a"])
-    articles = pieces.groupBy("url").agg(listed("article").alias("in_articles"), listed("clause").alias("in_clauses"))
-    intro = (F.col("kind") == "text") & ~F.coalesce(inside, F.lit(False))
-    issuer = F.when(intro & t.rlike(ISSUED_BY), F.struct("ord", "text"))
-    facts = rows.groupBy("url").agg(
-        F.max_by(F.when(F.col("kind") == "gazette", t), F.when(F.col("kind") == "gazette", F.col("ord"))).alias("gazette_ref"),
-        F.max_by(F.when(F.col("kind") == "issued", strip(F.regexp_extract("text", ISSUED_IN, 1))), F.when(F.col("kind") == "issued", F.col("ord"))).alias("issued_date"),
-        F.transform(F.array_sort(F.collect_list(issuer)), lambda x: x["text"]).alias("issuers"),
-    )
-    whole = read.join(articles, "url", "left").join(facts, "url", "left")
-    none = F.expr(f"cast(array() as array<{ARTICLE_TYPE}>)")
-    arts, clauses = F.coalesce("in_articles", none), F.coalesce("in_clauses", none)
-    chosen = F.when(F.size(arts) > 0, arts).otherwise(clauses)
-    skip = F.concat(F.array(F.lit(SKIPPED)), F.coalesce("issuers", F.expr("cast(array() as array<string>)")), F.when(F.col("gazette_ref").isNotNull(), F.array("gazette_ref")).otherwise(F.expr("cast(array() as array<string>)")))
+    line = F.when(t.isNotNull(), F.struct("ord", "kind", "heading", "segment", "of", F.concat_ws(" — ", "part", "chapter").alias("section"), "text"))
+    whole = rows.groupBy("url").agg(F.array_sort(F.collect_list(line)).alias("lines"), F.first("page", ignorenulls=True).alias("found"))
+
+    def texts(condition) -> Column:
+        return F.transform(F.filter("lines", condition), lambda x: x["text"])
+
+    def listed(of: str, pattern: str) -> Column:
+        def entry(h: Column) -> Column:
+            own = F.array_join(texts(lambda x: (x["segment"] == h["segment"]) & (x["kind"] == "text")), "\n\n")
+            number = strip(F.regexp_extract(h["text"], pattern, 1))
+            parsed = parse_label(number) if of == "article" else F.lit(None).cast("struct<number:bigint,is_bis:boolean>")
+            section = present(h["section"]) if of == "article" else none
+            return let(parsed, lambda p: F.struct(number.alias("number"), own.alias("text"), p["number"].alias("number_int"), F.coalesce(p["is_bis"], F.lit(False)).alias("is_bis"), section.alias("section"), F.expr("cast(array() as array<string>)").alias("amendment_history")))
+
+        return F.transform(F.filter("lines", lambda x: x["heading"] & (x["kind"] == of)), entry)
+
+    last = lambda kind: F.try_element_at(texts(lambda x: x["kind"] == kind), F.lit(-1))
+    intro = lambda x: (x["kind"] == "text") & ~F.coalesce(x["of"].isin("article", "clause"), F.lit(False))
+    facts = whole.select("url", "found", listed("article", ARTICLE).alias("arts"), listed("clause", CLAUSE).alias("clauses"), last("gazette").alias("gazette_ref"), strip(F.regexp_extract(last("issued"), ISSUED_IN, 1)).alias("issued_date"), texts(lambda x: intro(x) & x["text"].rlike(ISSUED_BY)).alias("issuers"))
+    chosen = F.when(F.size("arts") > 0, F.col("arts")).otherwise(F.col("clauses"))
+    skip = F.concat(F.array(F.lit(SKIPPED)), "issuers", F.when(F.col("gazette_ref").isNotNull(), F.array("gazette_ref")).otherwise(F.expr("cast(array() as array<string>)")))
     title = strip_cms_label(_title(F.col("found")))
     body = F.when(F.size(chosen) == 0, present(markdown_prose(F.col("found"), skip)))
-    return _shaped(whole.select(
+    return _shaped(facts.select(
         "url", F.lit(source).alias("source"), title.alias("title"), "gazette_ref", "issued_date",
         F.regexp_replace(strip(F.regexp_extract(F.get("issuers", F.lit(0)), ISSUED_BY, 1)), r"\.+\z", "").alias("issued_by"),
-        ((F.size(arts) == 0) & (F.size(clauses) > 0)).alias("is_decision"), chosen.alias("articles"), body.alias("body"),
+        ((F.size("arts") == 0) & (F.size("clauses") > 0)).alias("is_decision"), chosen.alias("articles"), body.alias("body"),
         F.when(title.isNull(), NO_TITLE).when((F.size(chosen) == 0) & body.isNull(), NOTHING).alias("error"),
     ))
 
@@ -162,8 +162,8 @@ def listed_documents(pages: DataFrame, source: str) -> DataFrame:
 
 # The two sites, their hosts and maps, and how they are named to readers.
 SOURCES = (
-    Source("nezams", ("nezams.com",), "https://nezams.com/sitemap_index.xml", "نظام (nezams.com)", lambda p: listed_documents(p, "nezams")),
     Source("qanoonsa", ("qanoonsa.com",), "https://qanoonsa.com/wp-sitemap.xml", "قانون (qanoonsa.com)", lambda p: headed_documents(p, "qanoonsa")),
+    Source("nezams", ("nezams.com",), "https://nezams.com/sitemap_index.xml", "نظام (nezams.com)", lambda p: listed_documents(p, "nezams")),
 )
 
 

@@ -78,6 +78,21 @@ def export(rendered: DataFrame, root: str) -> None:
     rendered.select("path", "text").foreachPartition(write)
 
 
+def remove(paths: DataFrame, root: str) -> None:
+    """Removes the files ``path`` below ``root`` and the folders that this empties, by the tasks that hold them. A file that is gone already is no error."""
+
+    def drop(rows) -> None:
+        import os
+
+        for r in rows:
+            at = os.path.join(root, r["path"])
+            if os.path.exists(at):
+                os.remove(at)
+            prune(os.path.dirname(at), root)
+
+    paths.select("path").foreachPartition(drop)
+
+
 def prune(start: str, root: str) -> None:
     """Empty folders from ``start`` upward, never ``root`` or what is above it."""
     import os

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,47 +19,54 @@ from ..sources.registry import detect
 
 @dataclass(frozen=True)
 class Ingest:
-    """documents: typed and checked; issues; results (ord, url, status, title, doc_type, reason, warnings); merged: the corpus after it."""
+    """documents: typed and checked; issues; results (ord, url, status, title, doc_type, reason, warnings); merged: the corpus after it; marks: url, etag, digest of what was read; asked: links that aren't done."""
 
     documents: DataFrame
     issues: DataFrame
     results: DataFrame
     merged: DataFrame
+    marks: DataFrame
+    asked: DataFrame
 
 
-def plan(links: DataFrame, pages: DataFrame, current: DataFrame, done: DataFrame | None = None, category: str | None = None, known: DataFrame | None = None) -> Ingest:
-    """links: ord, url. pages: url, html[, etag, last_modified]. current: url, path, text. known: url, etag, digest of the last refresh.
+def plan(links: DataFrame, pages: DataFrame, current: DataFrame, done: DataFrame | None = None, category: str | None = None, known: DataFrame | None = None, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> Ingest:
+    """links: ord, url. pages: url, html[, etag, last_modified, fetched_at]. current: url, path, text. known: url, etag, digest of the last refresh.
 
     What is done is dropped before a page is parsed, and so is what hasn't changed; a
-    failure is a row and never ends the run.
+    failure is a row and never ends the run. Of several captures of a canonical URL the
+    latest counts (fetched_at; null and missing are earliest), of equal ones that with the
+    greatest digest. keep may write a frame as a table of that name and read it again: the
+    documents are used by all that follows, and are parsed once then.
     """
     urls = links.select("ord", canonical_url(F.col("url")).alias("url")).groupBy("url").agg(F.min("ord").alias("ord"))
     if done is not None:
         urls = corpus.resume(urls, done)
-    landed = pages.withColumn("url", canonical_url(F.col("url")))
-    for name in ("etag", "last_modified"):
-        if name not in landed.columns:
-            landed = landed.withColumn(name, F.lit(None).cast("string"))
+    blank = F.lit(None).cast("string")
+    extra = [F.col(n).alias(n) if n in pages.columns else blank.alias(n) for n in ("etag", "last_modified", "fetched_at")]
+    captures = pages.select(canonical_url(F.col("url")).alias("url"), "html", *extra, F.sha2(F.coalesce("html", F.lit("")), 256).alias("digest"))
+    one = F.max_by(F.struct("html", "etag", "last_modified", "digest"), F.struct("fetched_at", "digest"))
+    landed = captures.join(urls.select("url"), "url", "left_semi").groupBy("url").agg(one.alias("c")).select("url", "c.*")
     rows = urls.join(landed, "url", "left").withColumn("source", detect(F.col("url"), parse.SOURCES))
     same = None
     if known is not None:
-        marked = corpus.changed(rows.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256)), known)
-        same, rows = marked.where("status = 'unchanged'").select("ord", "url"), marked.where("status <> 'unchanged'").drop("status", "digest")
+        marked = corpus.changed(rows, known)
+        same, rows = marked.where("status = 'unchanged'").select("ord", "url"), marked.where("status <> 'unchanged'").drop("status")
     parsed = parse.parse(rows.select("url", "source", F.coalesce("html", F.lit("")).alias("html")))
     typed = parsed.withColumn("doc_type", doc_type(F.col("title"), F.col("url"), F.col("is_decision")))
     typed = typed.withColumn("category", F.lit(category) if category else resolve_category(F.col("category"), F.col("doc_type")))
     guarded = corpus.guard(typed, current).withColumn("reason", F.coalesce("error", "reason")).withColumn("retrieved_at", F.current_date().cast("string"))
-    documents = guarded.join(rows.select("url", "ord", "etag", "last_modified"), "url")
+    documents = keep(guarded.join(rows.select("url", "ord", "etag", "last_modified", "digest"), "url"), "documents")
+    marks = documents.where("reason is null").select("url", "etag", "digest")
+    documents = documents.drop("digest")
     good = documents.where("reason is null")
     issues = quality.issues(good)
     warned = issues.groupBy("url").agg(F.transform(F.array_sort(F.collect_list(F.struct("rule", "ord", "message"))), lambda x: x["message"]).alias("warnings"))
     none = F.expr("cast(array() as array<string>)")
     results = documents.join(warned, "url", "left").select("ord", "url", F.when(present(F.col("reason")).isNull(), "ok").otherwise("failed").alias("status"), "title", "doc_type", "reason", F.coalesce("warnings", none).alias("warnings"))
     if same is not None:
-        blank = F.lit(None).cast("string")
         results = results.unionByName(same.select("ord", "url", F.lit("unchanged").alias("status"), blank.alias("title"), blank.alias("doc_type"), blank.alias("reason"), none.alias("warnings")))
     # A list of siblings is kept over an import: it lives in the files alone.
     siblings = current.select("url", read_list(F.col("text"), "also_available_from").alias("also_available_from"))
     rendered = render.render(good.join(siblings, "url", "left"))
     incoming = rendered.select("ord", "url", document_path(F.col("title"), F.col("category")).alias("wanted"), "text")
-    return Ingest(documents, issues, results, corpus.upsert(current, incoming))
+    return Ingest(documents, issues, results, corpus.upsert(current, incoming), marks, urls)

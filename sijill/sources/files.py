@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.frontmatter import read_field, read_list, read_text
@@ -50,10 +49,15 @@ def read_done(spark: SparkSession, path: str) -> DataFrame:
 
 
 def union_links(*parts: DataFrame) -> DataFrame:
-    """ord, url over several lists, each after the one before, the first of equal URLs kept."""
+    """ord, url over several lists, each after the one before, the first of equal URLs kept. ord grows along the lists, with gaps: nothing is sorted."""
     out = None
     for i, part in enumerate(parts):
-        own = part.select(F.struct(F.lit(i).alias("part"), F.col("ord").cast("long").alias("at")).alias("place"), canonical_url(F.col("url")).alias("url"))
+        own = part.select((F.lit(i << 40) + F.col("ord").cast("long")).alias("ord"), canonical_url(F.col("url")).alias("url"))
         out = own if out is None else out.unionByName(own)
-    first = out.groupBy("url").agg(F.min("place").alias("place"))
-    return first.select(F.row_number().over(W.orderBy("place")).alias("ord"), "url")
+    return out.groupBy("url").agg(F.min("ord").alias("ord")).select("ord", "url")
+
+
+def append_lines(lines: list[str], path: str) -> None:
+    """Adds lines to a log on the driver."""
+    with open(path, "a", encoding="utf-8") as f:
+        f.writelines(f"{x}\n" for x in lines)

@@ -30,7 +30,7 @@ def run(spark: SparkSession, landing: str, root: str) -> StreamingQuery:
 
     def merge(rows: DataFrame, batch: int) -> None:
         links = rows.select(F.xxhash64("url").alias("ord"), "url")
-        merged = plan(links, rows.dropDuplicates(["url"]), read_version(spark, root, batch - 1)).merged
+        merged = plan(links, rows, read_version(spark, root, batch - 1)).merged
         merged.select("url", "path", "text").write.mode("overwrite").parquet(_version(root, batch))
 
     return pages.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()

@@ -1,5 +1,7 @@
 """Corpus maintenance: merge, names, siblings, files, and what must hold when they run twice."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +112,79 @@ def test_import_command_and_refresh(spark, tmp_path):
     assert cli.main(["lint", "--out", out]) == 0
 
 
+def landed(spark, at, rows):
+    spark.createDataFrame(rows, "url string, html string, fetched_at string").write.mode("overwrite").parquet(str(at))
+    return str(at)
+
+
+def test_import_moves_updates_and_runs_again(spark, tmp_path, capsys):
+    """A page under a new title moves its file; the report comes after, whole; logs and skips are kept; unchanged pages aren't read again."""
+    from sijill import cli
+
+    out, pages, url = str(tmp_path / "laws"), tmp_path / "pages", "https://nezams.com/a"
+    run = lambda *more: cli.main(["import", "--pages", str(pages), "--out", out, *more, url])
+    texts = lambda: {r.path: r.text for r in files.read_corpus(spark, out).collect()}
+    landed(spark, pages, [(url, PAGE, None)])
+    assert run() == 0 and list(texts()) == ["التنظيمات/نظام العمل.md"]
+    landed(spark, pages, [(url, PAGE.replace("نظام العمل", "لائحة أخرى"), None)])
+    assert run("--report", str(tmp_path / "report.md")) == 0
+    moved = texts()
+    assert len(moved) == 1 and "لائحة أخرى" in next(iter(moved)) and "# لائحة أخرى" in next(iter(moved.values()))
+    assert "- نجح: **1**" in (tmp_path / "report.md").read_text()
+    landed(spark, pages, [(url, PAGE.replace("نظام العمل", "لائحة أخرى").replace("نص", "نص جديد"), None)])
+    assert run("--done", str(tmp_path / "done")) == 0 and "نص جديد" in next(iter(texts().values()))
+    assert (tmp_path / "done").read_text() == url + "\n"
+    capsys.readouterr()
+    assert run("--check-updates") == 0 and "بلا تغيير منذ آخر جلب: **1**" in capsys.readouterr().out
+    assert run("--done", str(tmp_path / "done")) == 0 and "(مكتمل سابقًا): **1**" in capsys.readouterr().out
+    (tmp_path / "one.html").write_text(PAGE.replace("العمل", "الملف"))
+    assert cli.main(["import", "--html", str(tmp_path / "one.html"), "--url", "https://nezams.com/b", "--out", out, "--failed", str(tmp_path / "failed")]) == 0
+    assert len(texts()) == 2 and (tmp_path / "failed").read_text() == ""
+    assert not [x for x in (tmp_path / "laws").iterdir() if x.name.startswith(("_import", "_settled"))]
+    assert cli.main(["import", "--html", "x", "--out", out]) == 2
+
+
+def test_two_captures_of_a_page_are_one_document(spark):
+    from sijill.plans.ingest import plan
+
+    one = "<article><h1>نظام</h1><h3>المادة الأولى</h3><p>{0} أ</p><h3>المادة الثانية</h3><p>{0} ب</p></article>"
+    rows = [("https://qanoonsa.com/%61", one.format("قديم"), "2020"), ("https://qanoonsa.com/a", one.format("جديد"), "2021"), ("https://qanoonsa.com/a#x", one.format("أقدم"), None)]
+    pages = spark.createDataFrame(rows, "url string, html string, fetched_at string")
+    links = spark.createDataFrame([(0, "https://qanoonsa.com/a")], "ord int, url string")
+    made = plan(links, pages, spark.createDataFrame([], "url string, path string, text string"))
+    assert [[a.text for a in r.articles] for r in made.documents.collect()] == [["جديد أ", "جديد ب"]]
+    assert made.results.count() == made.merged.count() == 1
+    arrow = made.documents._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+    assert arrow <= 2  # one a source
+
+
+def test_reclassify_moves_files(spark, tmp_path):
+    from sijill import cli
+
+    (tmp_path / "laws" / "x").mkdir(parents=True)
+    (tmp_path / "laws" / "x" / "نظام.md").write_text("---\ntitle: نظام العمل\nsource: s\nsource_url: https://nezams.com/a\ndoc_type: x\ncategory: x\n---\n\n# نظام العمل\n")
+    assert cli.main(["reclassify", "--out", str(tmp_path / "laws")]) == 0
+    assert [(r.path, 'doc_type: "نظام"' in r.text) for r in files.read_corpus(spark, str(tmp_path / "laws")).collect()] == [("x/نظام العمل.md", True)]
+
+
+def test_entry_without_the_training_data_subpackage(tmp_path):
+    """queries() and oracle_sql() keep all others where the subpackage is gone, with the pipeline or without it."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(os.path.join(root, "sijill"), tmp_path / "sijill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    said = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), [q for q in e.queries() if q.startswith('op') or q == 'pipeline'])"
+    for name in (None, "corpus_pipeline.py"):
+        if name and os.path.exists(os.path.join(root, name)):
+            shutil.copy(os.path.join(root, name), tmp_path)
+        found = subprocess.run([sys.executable, "-c", said], cwd=tmp_path, env={**os.environ, "PYTHONPATH": os.pathsep.join(p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and os.path.abspath(p) != root)}, capture_output=True, text=True, check=True)
+        n, sql, left = found.stdout.strip().split(" ", 2)
+        assert int(n) >= 49 and int(sql) >= 40 and left == "[]"
+
+
 def test_stream_merges_batches(spark, tmp_path):
     from sijill.streaming import ingest
 
