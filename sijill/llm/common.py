@@ -60,7 +60,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.kept_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes kept tables that nothing will read again."""
+    for t in tables:
+        if path := getattr(t, "kept_path", None):
+            _remove(t.sparkSession, path)
 
 
 def sent(df: DataFrame, rows: int = 20_000) -> DataFrame:

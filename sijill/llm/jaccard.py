@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, kept, settle
+from .common import discard, fresh, kept, settle
 from .idtable import held, table
 from .wordhash import in_steps, mixed, spans, words
 
@@ -59,8 +59,8 @@ from .wordhash import in_steps, mixed, spans, words
 HOT, SMALL = 500, 16
 #: Members of a pivot that one task measures, about.
 DEAL = 1000
-#: Rows of numbers up to which a table is sent to all tasks, and read by one.
-SENT, FEW = 100_000, 20_000
+#: Rows of a few numbers up to which a table is sent to all tasks, or read by one.
+FEW = 100_000
 
 
 def sets_of(texts: list[str], width: int) -> list[np.ndarray]:
@@ -139,7 +139,9 @@ def _class(s: np.ndarray) -> int:
 def _kept(df: DataFrame, name: str) -> DataFrame:
     """As :func:`kept`; a table of a few rows has one partition, so that what follows needs no shuffle."""
     out = kept(df, f"jaccard-{name}")
-    return out.coalesce(1) if out.count() <= FEW else out
+    few = out.coalesce(1) if out.count() <= FEW else out
+    few.kept_path = out.kept_path
+    return few
 
 
 def classes(docs: DataFrame, width: int) -> DataFrame:
@@ -252,7 +254,7 @@ def _paired(pairs: DataFrame, sets: DataFrame, what, schema: str) -> DataFrame:
     to the sets, so that only sets in pairs are shuffled. pairs: a kept table.
     """
     plain = pairs.columns
-    sent = F.broadcast if pairs.count() <= SENT else lambda x: x
+    sent = F.broadcast if pairs.count() <= FEW else lambda x: x
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
     deals = F.ceil(F.col("n") / DEAL).cast("int")
     left = pairs.join(many.where(f"n > {DEAL}").select("a", deals.alias("deals")), "a", "left")
@@ -373,6 +375,8 @@ def _links(docs: DataFrame, named: DataFrame, width: int, percent: int) -> DataF
     sets = _sets(docs, named, order.select("class"), width)
     linked = 100 * F.col("shared") >= percent * F.col("whole")
     regions = _kept(_gathered(spread, order), "regions")
+    discard(spread)
+    settle(docs.sparkSession)
     labels = None
 
     def add(more: DataFrame) -> None:
@@ -398,22 +402,27 @@ def _links(docs: DataFrame, named: DataFrame, width: int, percent: int) -> DataF
         windows = _kept(_windows(first.unionByName(second).select("region", "a", "b", far), percent), "windows")
         members = windows.select("region", F.col("b").alias("class")).unionByName(windows.select("region", F.col("a").alias("class"))).distinct()
         rest = _differences(windows.join(_open(_labelled(members, labels)), "region"), sets, percent)
-        placed = _kept(_labelled(rest, labels), "differences")
+        rest = _kept(_labelled(rest, labels), "differences")
+        settle(docs.sparkSession)
         inner, outer = F.sum("near").alias("inners"), F.sum(1 - F.col("linked")).alias("outers")
-        shared = placed.groupBy("region").agg(inner, outer, F.max("home").alias("some"), F.min("component").alias("low"), F.max("component").alias("high"))
+        shared = rest.groupBy("region").agg(inner, outer, F.max("home").alias("some"), F.min("component").alias("low"), F.max("component").alias("high"))
         shared = shared.where("low < high and inners > 0 and outers > 0 and some = 1").select("region", F.least("inners", "outers").alias("size"))
-        placed = _kept(placed.join(shared, "region"), "members")
+        placed = _kept(rest.join(shared, "region"), "members")
+        discard(rest, windows, first, second)
         small = placed if last else placed.where(F.col("size") <= SMALL)
         found = _kept(_candidates(small, percent).select(F.lit(0).cast("long").alias("region"), "a", "b"), "candidates")
         add(_measured(found, sets).where(linked).select("a", "b"))
         if last:
+            discard(placed)
             break
         large = _labelled(placed.where(F.col("size") > SMALL).select("region", "class"), labels)
         own = large.join(_open(large), "region").join(order, "class")
         pivots = own.groupBy("region").agg(F.max_by("class", F.struct("degree", "class")).alias("pivot"))
         regions = _kept(own.join(pivots, "region").select(F.col("pivot").alias("region"), "class").distinct(), "regions")
+        discard(placed)
         before, size = size, regions.count()
         last = 4 * size > before
+    discard(sets, order)
     return labels
 
 
