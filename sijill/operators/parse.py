@@ -72,6 +72,14 @@ def _shaped(df: DataFrame) -> DataFrame:
     return df.select(*((F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in fields))
 
 
+def carried(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` (key, ord, kind, text) with the last part and the last chapter so far, a part's chapters ending with it."""
+    order = W.partitionBy(key).orderBy("ord")
+    of = lambda kind: F.when(F.col("kind") == kind, F.col("text"))
+    rows = rows.withColumns({"part_no": F.count_if(F.col("kind") == "part").over(order), "part": F.last(of("part"), True).over(order)})
+    return rows.withColumn("chapter", F.last(of("chapter"), True).over(W.partitionBy(key, "part_no").orderBy("ord")))
+
+
 def headed_documents(pages: DataFrame, source: str) -> DataFrame:
     """Pages whose articles are headings followed by paragraphs; url is unique.
 
@@ -93,11 +101,8 @@ def headed_documents(pages: DataFrame, source: str) -> DataFrame:
         .when(t.rlike(GAZETTE), "gazette").when(t.rlike(ISSUED_IN), "issued").when(t.rlike(SIGNER), "signer").when(t.isNotNull(), "text")
     )
     rows = rows.withColumns({"heading": heading, "kind": kind})
-    rows = rows.withColumns({"segment": F.sum(F.col("heading").cast("int")).over(order), "part_no": F.count(F.when(F.col("kind") == "part", 1)).over(order), "part": F.last(F.when(F.col("kind") == "part", t), True).over(order)})
-    rows = rows.withColumns({
-        "chapter": F.last(F.when(F.col("kind") == "chapter", t), True).over(W.partitionBy("url", "part_no").orderBy("ord")),
-        "of": F.first(F.when(F.col("heading"), F.col("kind")), True).over(W.partitionBy("url", "segment")),
-    })
+    rows = carried(rows.withColumn("segment", F.sum(F.col("heading").cast("int")).over(order)), "url")
+    rows = rows.withColumn("of", F.first(F.when(F.col("heading"), F.col("kind")), True).over(W.partitionBy("url", "segment")))
     line = F.when(t.isNotNull(), F.struct("ord", "kind", "heading", "segment", "of", F.concat_ws(" — ", "part", "chapter").alias("section"), "text"))
     whole = rows.groupBy("url").agg(F.array_sort(F.collect_list(line)).alias("lines"), F.first("page", ignorenulls=True).alias("found"))
 
@@ -162,8 +167,8 @@ def listed_documents(pages: DataFrame, source: str) -> DataFrame:
 
 # The two sites, their hosts and maps, and how they are named to readers.
 SOURCES = (
-    Source("qanoonsa", ("qanoonsa.com",), "https://qanoonsa.com/wp-sitemap.xml", "قانون (qanoonsa.com)", lambda p: headed_documents(p, "qanoonsa")),
     Source("nezams", ("nezams.com",), "https://nezams.com/sitemap_index.xml", "نظام (nezams.com)", lambda p: listed_documents(p, "nezams")),
+    Source("qanoonsa", ("qanoonsa.com",), "https://qanoonsa.com/wp-sitemap.xml", "قانون (qanoonsa.com)", lambda p: headed_documents(p, "qanoonsa")),
 )
 
 

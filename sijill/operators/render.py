@@ -39,17 +39,23 @@ def header(docs: DataFrame) -> Column:
     return F.concat_ws("\n", *lines)
 
 
+def starts(sections: Column) -> Column:
+    """Whether each section of a list differs from the last one before it; null and empty ones start nothing and are passed over."""
+
+    def step(seen: Column, section: Column) -> Column:
+        now, last = present(section), seen["last"]
+        return F.struct(F.coalesce(now, last).alias("last"), F.array_append(seen["new"], now.isNotNull() & ~now.eqNullSafe(last)).alias("new"))
+
+    none = F.struct(F.lit(None).cast("string").alias("last"), F.expr("cast(array() as array<boolean>)").alias("new"))
+    return F.aggregate(sections, none, step)["new"]
+
+
 def render(docs: DataFrame) -> DataFrame:
     """``docs`` with text. A section is headed where it differs from the last one before; articles then go a level down."""
     arts = F.col("articles")
     sectioned = F.exists(arts, lambda a: F.coalesce(a["section"], F.lit("")) != "")
     mark = F.when(sectioned, "### ").otherwise("## ")
-    # The last section before each article: carried through a fold over the list.
-    folded = F.aggregate(
-        arts,
-        F.struct(F.lit(None).cast("string").alias("last"), F.expr("cast(array() as array<boolean>)").alias("new")),
-        lambda s, a: F.struct(F.coalesce(present(a["section"]), s["last"]).alias("last"), F.concat(s["new"], F.array(F.coalesce(present(a["section"]).isNotNull() & ~present(a["section"]).eqNullSafe(s["last"]), F.lit(False)))).alias("new")),
-    )["new"]
+    folded = starts(F.transform(arts, lambda a: a["section"]))
 
     def entry(a: Column, new: Column) -> Column:
         name = F.when(F.col("is_decision"), a["number"]).otherwise(F.concat(F.lit(ARTICLE), a["number"]))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, frontmatter, ordinals, paths, text, urls
 from ..operators import corpus, parse, quality, render, report
-from ..sources import html, registry, sitemap
+from ..sources import files, html, registry, sitemap
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,7 +98,7 @@ WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1))
 SELECT page_id, href, min(pos)::INTEGER AS pos FROM l GROUP BY page_id, href""")
 def link_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = table(spark, sf_dir, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("pos", "href"))
-    return links.groupBy("page_id", "href").agg(F.min("pos").alias("pos"))
+    return files.first_seen(links, ["page_id", "href"], "pos").select("page_id", "href", "pos")
 
 
 @query(f"SELECT page_id, url FROM pages WHERE (suffix({S_HOST}, '.example.com') OR suffix({S_HOST}, '.example.org')) AND NOT regexp_matches(url, '(?i)taxonom|category|post_tag|-tag|author|user') AND NOT regexp_matches(url, '(?i)nezam_update')")
@@ -201,11 +201,9 @@ SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'signup' THEN event_
        coalesce(last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id, part_no ORDER BY event_id), -1) AS chapter
 FROM e""")
 def section_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = W.partitionBy("user_id").orderBy("event_id")
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type").withColumn("part_no", F.count(F.when(F.col("event_type") == "signup", 1)).over(order))
-    part = F.last(F.when(F.col("event_type") == "signup", F.col("event_id")), True).over(order)
-    chapter = F.last(F.when(F.col("event_type") == "purchase", F.col("event_id")), True).over(W.partitionBy("user_id", "part_no").orderBy("event_id"))
-    return e.select("event_id", F.coalesce(part, F.lit(-1)).alias("part"), F.coalesce(chapter, F.lit(-1)).alias("chapter"))
+    kind = F.when(F.col("event_type") == "signup", "part").when(F.col("event_type") == "purchase", "chapter")
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("event_id").alias("ord"), kind.alias("kind"), F.col("event_id").alias("text"))
+    return parse.carried(rows, "user_id").select("event_id", *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("part", "chapter")))
 
 
 @query("""
@@ -213,9 +211,10 @@ WITH s AS (SELECT event_id, user_id, CASE WHEN event_type IN ('signup', 'purchas
 p AS (SELECT *, last_value(section IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
 SELECT event_id, section IS NOT NULL AND section IS DISTINCT FROM before AS headed FROM p""")
 def section_break_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "events").select("event_id", "user_id", F.when(F.col("event_type").isin("signup", "purchase"), F.col("event_type")).alias("section"))
-    before = F.last("section", True).over(W.partitionBy("user_id").orderBy("event_id").rowsBetween(W.unboundedPreceding, -1))
-    return s.select("event_id", (F.col("section").isNotNull() & ~F.col("section").eqNullSafe(before)).alias("headed"))
+    section = F.when(F.col("event_type").isin("signup", "purchase"), F.col("event_type"))
+    users = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", section.alias("section")))).alias("e"))
+    flags = users.select("e", render.starts(F.transform("e", lambda x: x["section"])).alias("headed"))
+    return flags.select(F.inline(F.arrays_zip("e", "headed"))).select("e.event_id", "headed")
 
 
 @query("""
