@@ -104,11 +104,11 @@ def _import(spark: SparkSession, args) -> int:
         for log, status in ((args.done, "status <> 'failed'"), (args.failed, "status = 'failed'")):
             if log:
                 files.append_lines((r.url for r in results.where(status).select("url").toLocalIterator()), log)
-        said = report.summary(results, datetime.now().isoformat(timespec="seconds"), skipped)
+        stamp = datetime.now().isoformat(timespec="seconds")
         if args.report:
             with open(args.report, "w", encoding="utf-8") as f:
-                f.write(said)
-        print(said)
+                report.write_summary(results, stamp, f, skipped)
+        report.write_summary(results, stamp, sys.stdout, skipped)
         return int(not results.where("status = 'failed'").isEmpty())
     finally:
         shutil.rmtree(staging, ignore_errors=True)
@@ -116,10 +116,12 @@ def _import(spark: SparkSession, args) -> int:
 
 def _discover(spark: SparkSession, args) -> int:
     source = get(args.source, parse.SOURCES)
-    found = [r.url for r in sitemap.discover(spark.read.parquet(args.maps), source.sitemap, source.hosts, args.include_updates).orderBy("ord").toLocalIterator()]
-    out = open(args.to, "w", encoding="utf-8") if args.to else sys.stdout
-    print(*found, sep="\n", file=out, flush=True)
-    return int(not found)
+    found = sitemap.discover(spark.read.parquet(args.maps), source.sitemap, source.hosts, args.include_updates).orderBy("ord")
+    n = 0
+    with open(args.to, "w", encoding="utf-8") if args.to else contextlib.nullcontext(sys.stdout) as out:
+        for n, r in enumerate(found.toLocalIterator(), 1):
+            print(r.url, file=out)
+    return int(not n)
 
 
 def _reclassify(spark: SparkSession, args) -> int:

@@ -34,18 +34,28 @@ def changed(incoming: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def until_successes(results: DataFrame, limit: int, success) -> DataFrame:
-    """Results, by ord, up to the one that completes ``limit`` successes.
+    """Results, by ord (not null), up to the one that completes ``limit`` successes.
 
-    Running counts need no single sorted partition: successes are counted by range of
-    ord, and only the range in which the limit falls is numbered row by row.
+    Successes are counted in intervals of ord of 2^20, these in intervals of 2^40 and 2^60.
+    From the widest on, intervals that begin after the limit is met are left out, and those
+    within one interval are summed up in a window of their own: however ord is spread, no
+    window holds more than 2^20 rows, and nothing is sorted in one task.
     """
-    size = 4096
-    part = results.withColumn("_range", F.floor(F.col("ord") / size))
-    counts = part.groupBy("_range").agg(F.count_if(success).alias("n"))
-    before = counts.withColumn("_before", F.sum("n").over(W.orderBy("_range")) - F.col("n")).where(F.col("_before") < limit)
-    near = part.join(before.select("_range", "_before"), "_range")
-    prior = F.col("_before") + F.coalesce(F.sum(success.cast("long")).over(W.partitionBy("_range").orderBy("ord").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return near.withColumn("_prior", prior).where(F.col("_prior") < limit).drop("_range", "_before", "_prior")
+    count, levels = F.col("_n"), (20, 40, 60)
+    part = results.withColumn("_in20", F.shiftright(F.col("ord").cast("long"), 20))
+    counts = {20: part.groupBy("_in20").agg(F.count_if(success).alias("_n"))}
+    for low, high in zip(levels, levels[1:]):
+        counts[high] = counts[low].groupBy(F.shiftright(f"_in{low}", high - low).alias(f"_in{high}")).agg(F.sum("_n").alias("_n"))
+    top = counts[60].groupBy().agg(F.array_sort(F.collect_list(F.struct("_in60", "_n"))).alias("all"))  # 16 rows at most
+    earlier = lambda x: F.aggregate(F.filter("all", lambda y: y["_in60"] < x["_in60"]), F.lit(0).cast("long"), lambda s, y: s + y["_n"])
+    begun = top.select(F.inline(F.transform("all", lambda x: F.struct(x["_in60"].alias("_in60"), earlier(x).alias("_before")))))
+    for high, low in ((60, 40), (40, 20)):
+        inner = counts[low].withColumn(f"_in{high}", F.shiftright(f"_in{low}", high - low)).join(begun.where(F.col("_before") < limit), f"_in{high}")
+        sofar = F.sum(count).over(W.partitionBy(f"_in{high}").orderBy(f"_in{low}")) - count
+        begun = inner.select(f"_in{low}", (F.col("_before") + sofar).alias("_before"))
+    near = part.join(begun.where(F.col("_before") < limit), "_in20")
+    prior = F.col("_before") + F.coalesce(F.sum(success.cast("long")).over(W.partitionBy("_in20").orderBy("ord").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return near.withColumn("_prior", prior).where(F.col("_prior") < limit).drop("_in20", "_before", "_prior")
 
 
 def guard(incoming: DataFrame, current: DataFrame) -> DataFrame:

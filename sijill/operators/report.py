@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import io
+from typing import TextIO
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the type of documents without one.
 NO_TYPE = "غير محدد"
 
+# Headings of the report's parts.
+PARTS = {1: "توزيع الأنواع", 2: "الفشل", 3: "التحذيرات"}
+
 
 def status_counts(results: DataFrame, skipped: int = 0) -> DataFrame:
     ok = F.col("status") == "ok"
@@ -23,18 +29,50 @@ def type_histogram(results: DataFrame) -> DataFrame:
     return results.where("status = 'ok'").groupBy(kind.alias("doc_type")).agg(F.count("*").alias("n"), F.min("ord").alias("first")).orderBy(F.desc("n"), "first")
 
 
+def lines(results: DataFrame, stamp: str, skipped: int = 0) -> DataFrame:
+    """part, rank, ord, n, line: the report as rows, in this order.
+
+    Part 0 has the counts, the others a heading and entries: types by number, failures and
+    warnings by link. A part without entries isn't there at all.
+    """
+    order = lambda part, rank, ord: (F.lit(part).alias("part"), rank.cast("long").alias("rank"), ord.cast("long").alias("ord"))
+    listed = lambda *texts: F.posexplode(F.array_compact(F.array(*texts))).alias("n", "line")
+    count = lambda label, name: F.format_string(f"- {label}: **%d**", name)
+    counts = status_counts(results, skipped).select(
+        *order(0, F.lit(0), F.lit(0)),
+        listed(
+            F.lit(f"# تقرير الاستيراد — {stamp}"), F.lit(""), count("نجح", "ok"), count("فشل", "failed"), count("تُخطّي (مكتمل سابقًا)", "skipped"),
+            F.when(F.col("unchanged") > 0, count("بلا تغيير منذ آخر جلب", "unchanged")), count("بتحذيرات", "warned"), F.lit(""),
+        ),
+    )
+    ok, failed = F.col("status") == "ok", F.col("status") == "failed"
+    types = type_histogram(results).select(*order(1, -F.col("n"), F.col("first")), listed(F.format_string("- %s: %d", "doc_type", "n")))
+    failures = results.where(failed).select(*order(2, F.lit(0), F.col("ord")), listed(F.format_string("- `%s` — %s", "url", "reason")))
+    warned = results.where(ok & (F.size("warnings") > 0))
+    named = F.concat(F.lit("- **"), F.coalesce(F.nullif("title", F.lit("")), "url"), F.lit("**"))
+    warnings = warned.select(*order(3, F.lit(0), F.col("ord")), F.posexplode(F.concat(F.array(named), F.transform("warnings", lambda w: F.concat(F.lit("  - "), w)))).alias("n", "line"))
+    entries = types.unionByName(failures).unionByName(warnings)
+    heading = F.element_at(F.create_map(*(F.lit(x) for pair in PARTS.items() for x in pair)), F.col("part"))
+    ends = entries.groupBy("part").agg(F.max(F.lit(1)).alias("there"))
+    above = ends.select("part", F.lit(-(1 << 62)).alias("rank"), F.lit(0).cast("long").alias("ord"), listed(F.concat(F.lit("## "), heading), F.lit("")))
+    below = ends.select("part", F.lit(1 << 62).alias("rank"), F.lit(0).cast("long").alias("ord"), listed(F.lit("")))
+    return counts.unionByName(entries).unionByName(above).unionByName(below).orderBy("part", "rank", "ord", "n")
+
+
+def write_summary(results: DataFrame, stamp: str, out: TextIO, skipped: int = 0) -> None:
+    """The report as Markdown, line by line; nothing but a partition of it is held. Blank lines at its end are left out."""
+    blank = 0
+    for r in lines(results, stamp, skipped).toLocalIterator():
+        if r.line:
+            out.write("\n" * blank + r.line + "\n")
+        blank = 0 if r.line else blank + 1
+
+
 def summary(results: DataFrame, stamp: str, skipped: int = 0) -> str:
-    """The report as Markdown. Failures and warnings are listed one by one, as they are read on the driver anyway."""
-    c = status_counts(results, skipped).first()
-    lines = [f"# تقرير الاستيراد — {stamp}", "", f"- نجح: **{c.ok}**", f"- فشل: **{c.failed}**", f"- تُخطّي (مكتمل سابقًا): **{c.skipped}**"]
-    lines += [f"- بلا تغيير منذ آخر جلب: **{c.unchanged}**"] * bool(c.unchanged) + [f"- بتحذيرات: **{c.warned}**", ""]
-    if types := [f"- {r.doc_type}: {r.n}" for r in type_histogram(results).collect()]:
-        lines += ["## توزيع الأنواع", "", *types, ""]
-    if failed := [f"- `{r.url}` — {r.reason}" for r in results.where("status = 'failed'").orderBy("ord").toLocalIterator()]:
-        lines += ["## الفشل", "", *failed, ""]
-    if warned := [x for r in results.where("status = 'ok' and size(warnings) > 0").orderBy("ord").toLocalIterator() for x in (f"- **{r.title or r.url}**", *(f"  - {w}" for w in r.warnings))]:
-        lines += ["## التحذيرات", "", *warned, ""]
-    return "\n".join(lines).rstrip() + "\n"
+    """The report of a run that is known to be small, as one text."""
+    out = io.StringIO()
+    write_summary(results, stamp, out, skipped)
+    return out.getvalue()
 
 
 def index(corpus_fields: DataFrame) -> DataFrame:

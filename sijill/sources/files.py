@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.frontmatter import read_field, read_list, read_text
@@ -38,9 +39,14 @@ def source_index(corpus: DataFrame) -> DataFrame:
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
-    """ord, url of a list of links; blank lines and comments are left out."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("ord", "line"))
-    return lines.where(~F.col("line").startswith("#") & (F.trim("line") != "")).select("ord", F.trim("line").alias("url"))
+    """ord, url of a list of links; blank lines and comments are left out. ord grows with the file, with gaps.
+
+    Lines are numbered within each block of the file that one task reads; no block has
+    more lines than bytes.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    place = 2 * F.col("block") + F.row_number().over(W.partitionBy("block").orderBy("at"))
+    return lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(place.alias("ord"), F.trim("value").alias("url"))
 
 
 def read_done(spark: SparkSession, path: str) -> DataFrame:
@@ -48,13 +54,18 @@ def read_done(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.trim("value") != "").select(canonical_url(F.col("value")).alias("url")).distinct()
 
 
+def first_seen(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """The keys, each with its least place."""
+    return rows.groupBy(*keys).agg(F.min(place).alias(place))
+
+
 def union_links(*parts: DataFrame) -> DataFrame:
     """ord, url over several lists, each after the one before, the first of equal URLs kept. ord grows along the lists, with gaps: nothing is sorted."""
     out = None
     for i, part in enumerate(parts):
         own = part.select((F.lit(i << 40) + F.col("ord").cast("long")).alias("ord"), canonical_url(F.col("url")).alias("url"))
         out = own if out is None else out.unionByName(own)
-    return out.groupBy("url").agg(F.min("ord").alias("ord")).select("ord", "url")
+    return first_seen(out, ["url"], "ord").select("ord", "url")
 
 
 def append_lines(lines: list[str], path: str) -> None:

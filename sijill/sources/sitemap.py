@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..functions.urls import canonical_url, on_hosts
+from .files import first_seen
 
 # Submaps that hold no documents, and those of amendments.
 SKIP, UPDATES = "(?i)taxonom|category|post_tag|-tag|author|user", "(?i)nezam_update"
@@ -34,5 +35,9 @@ def discover(maps: DataFrame, index: str, hosts: Sequence[str], updates: bool =
     subs = top.where(nested).select(F.posexplode(locations(F.col("xml"))).alias("m", "url")).unionByName(top.where(~nested).select(F.lit(0).alias("m"), "url"))
     listed = subs.where(wanted(F.col("url"), hosts, updates)).join(maps, "url").select("m", F.posexplode(locations(F.col("xml"))).alias("k", "url"))
     found = listed.where(on_hosts(F.col("url"), hosts)).select(F.struct("m", "k").alias("place"), canonical_url(F.col("url")).alias("url"))
-    first = found.groupBy("url").agg(F.min("place").alias("place"))
-    return first.select(F.row_number().over(W.orderBy("place")).alias("ord"), "url")
+    first = first_seen(found, ["url"], "place").select("place.*", "url")
+    # URLs are numbered within their submap, after the counts of those before. The window over all is over submaps, which one file lists.
+    counts = first.groupBy("m").agg(F.count("*").alias("n"))
+    before = counts.select("m", (F.sum("n").over(W.orderBy("m")) - F.col("n")).alias("before"))
+    ord = F.col("before") + F.row_number().over(W.partitionBy("m").orderBy("k"))
+    return first.join(before, "m").select(ord.cast("int").alias("ord"), "url")
