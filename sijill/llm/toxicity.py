@@ -222,13 +222,16 @@ def candidates(rows: list[tuple[str | None, int]]) -> tuple[dict[str, tuple[int,
     return {p: (clean[p], toxic[p]) for p in often}, len(toxic)
 
 
-def choose_stems(counts: dict[str, tuple[int, int]], tried: int, toxic: int, clean: int, support: float = 0.03) -> dict[str, bool]:
-    """Stems that tell toxic texts apart beyond chance, each as long as it loses no texts."""
+def choose_stems(counts: dict[str, tuple[int, int]], tried: int, toxic: int, clean: int, least: int = 3) -> dict[str, bool]:
+    """Stems that tell toxic texts apart beyond chance, each as long as it loses no texts.
+
+    How many texts that takes doesn't grow with the toxic rows, so a language with few of
+    them has its stems too.
+    """
     if not toxic or not clean:
         return {}
     prior = toxic / (toxic + clean)
     bar = math.log(100 * (tried + 1)) / -math.log(prior)
-    least = max(3, support * toxic)
 
     def good(p: str) -> bool:
         no, yes = counts.get(p, (0, 0))

@@ -431,6 +431,26 @@ def test_toxicity_learns_and_keeps_apart(spark):
     assert {r.predicted for r in toxicity.score(df, none).collect()} == {0}
 
 
+def test_quotation_lowers_the_score(spark):
+    """One insult: aimed in toxic rows, quoted in a few clean ones."""
+    rng = random.Random(13)
+    aimed = [f"{prose(rng, 30)} you zzidiot {prose(rng, 5)}" for _ in range(150)]
+    quoted = [f'{prose(rng, 30)} they said "zzidiot" {prose(rng, 5)}' for _ in range(3)]
+    rows = [(t, 1) for t in aimed] + [(t, 0) for t in quoted] + [(prose(rng, 40), 0) for _ in range(300)]
+    model = toxicity.fit(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "key long, text string, label int"))
+    fill = prose(rng, 30)
+    said, plain, to = model.scores([f'{fill} they said "zzidiot" indeed', f"{fill} some zzidiot indeed", f"{fill} you zzidiot indeed"])[0]
+    assert said < plain < to and to >= 0.5
+
+
+def test_stems_of_few_toxic_texts_are_learned():
+    """A stem of one in fifty of the toxic texts is learned, beside one that all others have; one of ten texts is within chance here."""
+    rng = random.Random(14)
+    rows = [(f"{prose(rng, 20)} zzidiot", 1) for _ in range(980)] + [(f"{prose(rng, 20)} qqtonto", 1) for _ in range(20)] + [(prose(rng, 20), 0) for _ in range(3000)]
+    stems = toxicity.choose_stems(*toxicity.candidates(rows), 1000, 3000)
+    assert any("zzidiot".startswith(s) for s in stems) and any("qqtonto".startswith(s) for s in stems)
+
+
 # Revisits -----------------------------------------------------------------------------
 
 
