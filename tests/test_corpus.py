@@ -74,6 +74,45 @@ def test_links_and_report(spark, tmp_path):
     assert "- نجح: **2**" in said and "- `v` — why" in said and "- **T**\n  - w" in said and "- غير محدد: 1" in said
 
 
+def test_report_has_its_parts_in_order(spark):
+    schema = "ord long, url string, status string, title string, doc_type string, reason string, warnings array<string>"
+    rows = [(2, "c", "ok", "", "ب", None, ["w2", "w3"]), (0, "a", "ok", "T", "أ", None, []), (1, "b", "ok", None, "ب", None, []), (9, "y", "failed", None, None, "why", []), (3, "x", "failed", None, None, "first", [])]
+    said = report.summary(spark.createDataFrame(rows, schema), "now")
+    assert said.split("\n")[8 - 1 :] == ["## توزيع الأنواع", "", "- ب: 2", "- أ: 1", "", "## الفشل", "", "- `x` — first", "- `y` — why", "", "## التحذيرات", "", "- **c**", "  - w2", "  - w3", ""]
+    none = report.summary(spark.createDataFrame([], schema), "now")
+    assert "##" not in none and none.endswith("**0**\n") and none.startswith("# ")
+
+
+@pytest.mark.parametrize("limit", [0, 1, 700, 5000])
+def test_success_limit_over_spread_places(spark, limit):
+    """Against a plain count: places over all 64 bits, close together, and at both ends."""
+    import random
+
+    rng = random.Random(limit)
+    places = sorted({*(rng.randrange(-(1 << 63), 1 << 63) for _ in range(800)), *range(-300, 300), -(1 << 63), (1 << 63) - 1})
+    rows = [(p, rng.random() < 0.6) for p in places]
+    want, n = [], 0
+    for p, ok in rows:
+        if n >= limit:
+            break
+        want.append(p)
+        n += ok
+    got = corpus.until_successes(spark.createDataFrame(rows, "ord long, ok boolean"), limit, F.col("ok"))
+    assert got.columns == ["ord", "ok"]
+    assert sorted(r.ord for r in got.collect()) == want
+
+
+def test_links_keep_their_order_over_blocks(spark, tmp_path):
+    (tmp_path / "l").write_text("".join(f"https://x.com/{i}\n# {i}\r\n\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows = files.read_links(spark, str(tmp_path / "l")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({r.ord for r in rows}) == 3000
+    assert [r.url for r in sorted(rows, key=lambda r: r.ord)] == [f"https://x.com/{i}" for i in range(3000)]
+
+
 def test_fetcher():
     waits, seen = [], []
 
