@@ -19,25 +19,25 @@ from .wordhash import mixed
 BITS = 2**25
 
 
-def _places(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return mixed(x) % np.uint64(BITS), mixed(x ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(BITS)
+def _places(x: np.ndarray, places: int) -> tuple[np.ndarray, np.ndarray]:
+    return mixed(x) % np.uint64(places), mixed(x ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(places)
 
 
-def held(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def held(bits: np.ndarray, ids: np.ndarray, places: int = BITS) -> np.ndarray:
     """Which ids the table may hold."""
     out = np.ones(len(ids), bool)
-    for x in _places(ids.view(np.uint64)):
+    for x in _places(ids.view(np.uint64), places):
         out &= (bits.view(np.uint64)[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) == 1
     return out
 
 
-def table(ids: DataFrame) -> np.ndarray:
-    """A table of BITS bits with two set for each id (long, the only column). The driver gets its set words only, so a bounded number of rows."""
+def table(ids: DataFrame, places: int = BITS) -> np.ndarray:
+    """A table of so many bits with two set for each id (long, the only column). The driver gets its set words only, so a bounded number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITS // 64, np.uint64)
+        bits = np.zeros(places // 64, np.uint64)
         for b in batches:
-            for x in _places(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)):
+            for x in _places(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), places):
                 np.bitwise_or.at(bits, (x >> np.uint64(6)).astype(np.int64), np.uint64(1) << (x & np.uint64(63)))
         word = np.flatnonzero(bits)
         for at in range(0, len(word), 100_000):
@@ -45,6 +45,6 @@ def table(ids: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(bits[part].view(np.int64))], names=["word", "mask"])
 
     found = ids.mapInArrow(run, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    out = np.zeros(BITS // 64, np.int64)
+    out = np.zeros(places // 64, np.int64)
     out[found.column("word").to_numpy()] = found.column("mask").to_numpy()
     return out
