@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat, jaccard, mixing, passages, pieces, quality, revisits, search, spelling, toxicity, urlfilter
+from . import centroids, chat, jaccard, languages, mixing, passages, pieces, quality, revisits, search, spelling, toxicity, urlfilter
 from .common import read
 
 #: The rules for pages, as (verdict, host, path).
@@ -87,6 +87,13 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = (F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1).alias("held_out")
+    model = languages.fit(docs.where(~held).select(F.col("doc_id").alias("key"), "text", "lang"))
+    return languages.identify(docs.select("doc_id", held, "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(read(spark, sf_dir, "embeddings"), k=8, rounds=10, salt="3:")
 
@@ -96,4 +103,4 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_bm25_top_k, op3_substring_dedup, op4_quality_rules, op5_url_filters, op6_jaccard_join, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing, op12_centroid_clustering, op13_spelling_variants)}
+    return {f.__name__: f for f in (op1_toxicity, op2_bm25_top_k, op3_substring_dedup, op4_quality_rules, op5_url_filters, op6_jaccard_join, op7_warc_revisits, op8_chat_prefix_targets, op9_sentencepiece, op10_source_mixing, op11_language_id, op12_centroid_clustering, op13_spelling_variants)}

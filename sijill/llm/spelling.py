@@ -148,8 +148,8 @@ def near_words(words: DataFrame) -> DataFrame:
     alphabet = np.array(sorted(ord(r.c) for r in words.select(F.explode(F.split("word", "")).alias("c")).distinct().where("c <> ''").collect()), np.uint32)
     if not len(alphabet):
         return words.select("word", "n", F.col("word").alias("near"), F.col("n").alias("near_n")).limit(0)
-    bits = BITS
-    while bits < min(MOST_BITS, PLACES * words.count()):
+    bits, n_words = BITS, words.count()
+    while bits < min(MOST_BITS, PLACES * n_words):
         bits *= 2
     sent = spark.sparkContext.broadcast(table(_hashed(words), bits))
 
@@ -172,7 +172,9 @@ def near_words(words: DataFrame) -> DataFrame:
                     own, n, near = [], [], []
             yield batch()
 
-    made = words.select("word", "n").mapInArrow(run, "word string, n long, near string")
+    # A few bytes of words are much work: they are dealt out again.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_words // ROWS)
+    made = words.select("word", "n").repartition(tasks, "word").mapInArrow(run, "word string, n long, near string")
     return made.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near").select("word", "n", "near", "near_n")
 
 
