@@ -35,7 +35,7 @@ from .common import fresh, others
 from .wordhash import in_steps
 
 #: Bytes of a window, units of a state, windows that one step reads at most.
-WINDOW, UNITS, AT_ONCE = 64, 12, 512
+WINDOW, UNITS, AT_ONCE = 64, 12, 2048
 #: Bound of the sample: rows a language, rows in all, windows a row.
 ROWS, ROWS_IN_ALL, PIECES = 400, 40_000, 4
 #: Windows of a training step, steps, greatest rate.
