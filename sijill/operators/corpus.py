@@ -1,6 +1,7 @@
 """The maintained corpus: merge, names, reclassification, siblings, canonical URLs, resume and refresh.
 
-Every function returns a plan; nothing is written until a caller writes it.
+Every function returns a plan, and none writes to the corpus: a caller does. Names alone
+are settled in rounds that keep tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.classify import doc_type, resolve_category
 from ..functions.paths import NAME_BYTES, cut_bytes, document_path, file_name
 from ..functions.urls import canonical_url, slug
+from ..sources.tables import kept
 from .parse import CLAUSES
 
 ARTICLE_HEADING = r"(?md)^#{2,3}[ \t]*المادة\s"
@@ -65,38 +67,91 @@ def guard(incoming: DataFrame, current: DataFrame) -> DataFrame:
     return incoming.join(had, "url", "left").withColumn("reason", F.when(prose & F.coalesce("_had", F.lit(False)), WORSE)).drop("_had")
 
 
+#: Numbers, and places in an order, that one window or one task holds.
+SPAN = 1 << 16
+
+
+def _ranked(rows: DataFrame, key: list[str], place: str, order: list[str], name: str) -> DataFrame:
+    """``rows`` with ``name``, the place within the key (from 1) by ``place`` (a long), then ``order``.
+
+    Rows are counted in spans of ``place``, and ranked within one: a key that a third of all
+    rows have is in as many windows as it has spans, and none but a row a span is in all.
+    """
+    part = rows.withColumn("_span", F.shiftright(F.col(place), 16))
+    counts = part.groupBy(*key, "_span").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(W.partitionBy(*key).orderBy("_span")) - F.col("_n")).drop("_n")
+    inner = F.row_number().over(W.partitionBy(*key, "_span").orderBy(place, *order))
+    return part.withColumn("_inner", inner).join(before, [*key, "_span"]).withColumn(name, F.col("_before") + F.col("_inner")).drop("_span", "_inner", "_before")
+
+
+def _first(claims: DataFrame, path: str) -> DataFrame:
+    """url, path: who gets each path: who has it, else the first claim. A minimum, so that no path's claims meet in one task."""
+    other = (~F.coalesce(F.col(path) == F.col("owned"), F.lit(False))).alias("other")
+    return claims.groupBy(F.col(path).alias("path")).agg(F.min(F.struct(other, "ord", "url"))["url"].alias("url")).select("url", "path")
+
+
 def settle_paths(claims: DataFrame) -> DataFrame:
-    """url, path for claims (url, wanted, owned (the path it has, or null), ord).
+    """url, path for claims (url, wanted, owned (the path it has, or null), ord): every URL gets a path of its own.
+
+    The claims left over are settled against all paths given out so far, in three rounds:
+
+    1. the wanted path goes to the document that has it, else to the first claim;
+    2. the others claim their slug in the name, with bytes reserved so that it can't be cut
+       off; names that the first round gave out are refused;
+    3. the rest claim a number behind that name, from 2. Who has such a path keeps it if the
+       first round didn't give it out; the others get, in order, the numbers that are free.
+
+    A fourth round is never needed: what the second gives out ends in a bracket and what the
+    third does in a number, and equal numbered paths have equal names, whose claims are
+    settled together; so only the first round's paths can be in the way of the others.
+    Free numbers are made by spans, and meet claims by rank.
 
-    A path goes to the document that has it already, else to the first claim. The others
-    get their slug in the name, with bytes reserved so that it can't be cut off, and a
-    number where that is taken too. Two rankings replace one probe after another.
+    What a round leaves is kept as a table, since all that follows reads it; mostly it is
+    empty after the first.
     """
-    mine = (F.col("wanted") == F.col("owned")).cast("int")
-    rank = F.row_number().over(W.partitionBy("wanted").orderBy(F.coalesce(mine, F.lit(0)).desc(), "ord", "url"))
-    ranked = claims.withColumn("rank", rank)
-    first = ranked.where("rank = 1").select("url", F.col("wanted").alias("path"))
+    claims = claims.select("url", "wanted", "owned", F.col("ord").cast("long").alias("ord"))
+    given = kept(_first(claims, "wanted"), "names-first")
     extra = F.concat(F.lit(" ("), cut_bytes(file_name(slug(F.col("url"))), 60), F.lit(")"))
-    folder, stem = F.regexp_extract("wanted", r"^(.*/)?([^/]*)\.md$", 1), F.regexp_extract("wanted", r"^(.*/)?([^/]*)\.md$", 2)
-    name = F.concat(F.trim(cut_bytes(stem, F.lit(NAME_BYTES - 8) - F.octet_length(extra))), extra)
-    rest = ranked.where("rank > 1").select("url", "owned", "ord", folder.alias("folder"), name.alias("name"))
-    taken = first.select(F.col("path").alias("full"), F.lit(1).alias("held"))
-    named = rest.withColumn("full", F.concat("folder", "name", F.lit(".md"))).join(taken, "full", "left").withColumn("held", F.coalesce("held", F.lit(0)))
-    again = F.row_number().over(W.partitionBy("full").orderBy(F.coalesce((F.col("full") == F.col("owned")).cast("int"), F.lit(0)).desc(), "ord", "url")) + F.col("held")
-    numbered = named.withColumn("again", again)
-    path = F.when(F.col("again") == 1, F.col("full")).otherwise(F.concat("folder", "name", F.lit(" "), F.col("again").cast("string"), F.lit(".md")))
-    return first.unionByName(numbered.select("url", path.alias("path")))
+    folder, stem = F.regexp_extract("wanted", r"(?s)^(.*/)?([^/]*)\.md$", 1), F.regexp_extract("wanted", r"(?s)^(.*/)?([^/]*)\.md$", 2)
+    name = F.concat(folder, F.trim(cut_bytes(stem, F.lit(NAME_BYTES - 8) - F.octet_length(extra))), extra)
+    rest = kept(claims.join(given.select("url"), "url", "left_anti").select("url", "owned", "ord", name.alias("name")), "names-left")
+    if rest.isEmpty():
+        return given
+    # Paths of the first round that can be in the way: a name that is left, alone or with a number.
+    number = F.expr(r"coalesce(try_cast(regexp_extract(path, '(?s) ([1-9]\\d{0,8})\\.md$', 1) AS int), 0)")
+    bare = given.select("path", F.regexp_replace("path", r"\.md$", "").alias("name"), F.lit(0).alias("number"))
+    cut = given.select("path", F.regexp_extract("path", r"(?s)^(.*) [1-9]\d{0,8}\.md$", 1).alias("name"), number.alias("number")).where("number >= 2")
+    taken = kept(bare.unionByName(cut).join(rest.select("name").distinct(), "name", "left_semi"), "names-taken")
+    second = _first(rest.join(taken.where("number = 0").select("name"), "name", "left_anti").withColumn("named", F.concat("name", F.lit(".md"))), "named")
+    second = kept(second, "names-second")
+    left = kept(rest.join(second.select("url"), "url", "left_anti"), "names-third")
+    if left.isEmpty():
+        return given.unionByName(second)
+    named = lambda c: F.concat("name", F.lit(" "), c.cast("string"), F.lit(".md"))
+    had = left.withColumn("path", F.col("owned")).withColumn("number", number).where((F.col("number") >= 2) & (F.col("path") == named(F.col("number"))))
+    keeps = had.join(taken.select("path"), "path", "left_anti").groupBy("path", "name", "number").agg(F.min(F.struct("ord", "url"))["url"].alias("url"))
+    new = _ranked(left.join(keeps.select("url"), "url", "left_anti"), ["name"], "ord", ["url"], "rank")
+    held = keeps.select("name", "number").unionByName(taken.where("number >= 2").select("name", "number"))
+    # As many numbers as there are claims and numbers held, so that enough are free; each span of them is made by itself.
+    needed = left.groupBy("name").agg(F.count("*").alias("m")).join(held.groupBy("name").agg(F.count("*").alias("h")), "name", "left")
+    spans = needed.select("name", (F.col("m") + F.coalesce("h", F.lit(0)) + 1).alias("last")).select("name", "last", F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright("last", 16))).alias("span"))
+    numbers = spans.repartition("name", "span").select("name", F.explode(F.sequence(F.greatest(F.col("span") * SPAN, F.lit(2)), F.least(F.col("last"), F.col("span") * SPAN + (SPAN - 1)))).alias("number"))
+    free = _ranked(numbers.join(held.select("name", F.col("number").cast("long").alias("number")), ["name", "number"], "left_anti"), ["name"], "number", [], "rank")
+    third = new.join(free, ["name", "rank"]).select("url", named(F.col("number")).alias("path"))
+    return given.unionByName(second).unionByName(keeps.select("url", "path")).unionByName(third)
 
 
 def upsert(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """The corpus after a merge by URL: url, path, text, old_path, action (kept, added, updated, moved, same).
 
-    current: url, path, text. incoming: ord, url, wanted (path), text; of equal URLs the first.
+    current: url, path, text. incoming: ord, url, wanted (path), text; of equal URLs the
+    first. Names are settled on keys; texts meet once, by URL, when paths are known.
     """
-    new = incoming.groupBy("url").agg(F.min_by(F.struct("ord", "wanted", "text"), "ord").alias("n"))
-    both = current.select("url", F.col("path").alias("old_path"), F.col("text").alias("old_text")).join(new, "url", "full_outer")
-    claims = both.select("url", F.coalesce("n.wanted", "old_path").alias("wanted"), F.col("old_path").alias("owned"), F.coalesce("n.ord", F.lit(-1)).cast("long").alias("ord"))
-    merged = both.join(settle_paths(claims), "url")
+    first = incoming.groupBy("url").agg(F.min(F.struct("ord", "wanted")).alias("n"))
+    keys = current.select("url", F.col("path").alias("owned")).join(first, "url", "full_outer")
+    places = settle_paths(keys.select("url", F.coalesce("n.wanted", "owned").alias("wanted"), "owned", F.coalesce("n.ord", F.lit(-1)).cast("long").alias("ord")))
+    new = incoming.groupBy("url").agg(F.min_by(F.struct("ord", "wanted", "text"), F.struct("ord", "wanted")).alias("n"))
+    merged = current.select("url", F.col("path").alias("old_path"), F.col("text").alias("old_text")).join(new, "url", "full_outer").join(places, "url")
     action = F.when(F.col("n").isNull() & (F.col("path") == F.col("old_path")), "kept").when(F.col("old_path").isNull(), "added").when(F.col("path") != F.col("old_path"), "moved").when(F.col("n.text").eqNullSafe(F.col("old_text")), "same").otherwise("updated")
     return merged.select("url", "path", F.coalesce("n.text", "old_text").alias("text"), "old_path", action.alias("action"))
 

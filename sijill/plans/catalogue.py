@@ -406,6 +406,27 @@ def collision_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled.join(claims.select(F.col("own"), F.col("url").alias("named")), F.col("own") == settled["url"]).select(F.col("named").alias("url"), "path")
 
 
+@query("""
+WITH c AS (SELECT doc_id AS ord, 'https://x.test/' || doc_id || '/' || lang AS url, CASE WHEN doc_id % 10 = 3 THEN 'k/' || source || ' (' || lang || ') ' || (doc_id // 10 + 2) || '.md' ELSE 'k/' || source || '.md' END AS wanted, lang FROM documents),
+a AS (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY ord) AS r FROM c),
+s AS (SELECT *, replace(wanted, '.md', '') || ' (' || lang || ')' AS name FROM a WHERE r > 1),
+b AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ord) AS k FROM s),
+n AS (SELECT *, count(*) OVER (PARTITION BY name) AS m FROM b),
+q AS (SELECT name, unnest(range(2, 2 + m + (SELECT count(*) FROM a WHERE r = 1))) AS x FROM (SELECT DISTINCT name, m FROM n)),
+f AS (SELECT name, x, row_number() OVER (PARTITION BY name ORDER BY x) AS k FROM q WHERE name || ' ' || x || '.md' NOT IN (SELECT wanted FROM a WHERE r = 1))
+SELECT url, wanted AS path FROM a WHERE r = 1
+UNION ALL SELECT url, n.name || '.md' FROM n WHERE k = 1
+UNION ALL SELECT url, n.name || ' ' || x || '.md' FROM n JOIN f ON f.name = n.name AND f.k = n.k - 1""")
+def collision_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few names that all documents want, few slugs, and numbered names that a tenth of the documents want themselves."""
+    id = F.col("doc_id")
+    numbered = F.concat(F.lit("k/"), "source", F.lit(" ("), "lang", F.lit(") "), F.expr("doc_id div 10 + 2").cast("string"), F.lit(".md"))
+    wanted = F.when(id % 10 == 3, numbered).otherwise(F.concat(F.lit("k/"), "source", F.lit(".md")))
+    url = F.concat(F.lit("https://x.test/"), id.cast("string"), F.lit("/"), "lang")
+    claims = table(spark, sf_dir, "documents").select(url.alias("url"), wanted.alias("wanted"), F.lit(None).cast("string").alias("owned"), id.alias("ord"))
+    return corpus.settle_paths(claims)
+
+
 @query("""
 WITH f AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'نظام ' || doc_id WHEN 1 THEN 'قرار ' || doc_id // 8 WHEN 2 THEN 'نص ' || doc_id ELSE NULL END AS title,
   CASE doc_id % 4 WHEN 0 THEN 'نظام' WHEN 1 THEN 'قرار' WHEN 2 THEN 'أخرى' ELSE 'أخرى' END AS kind FROM documents),
