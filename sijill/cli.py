@@ -21,12 +21,16 @@ from .sources import files, sitemap
 from .sources.registry import get
 
 
+#: Where a report goes that is asked for without a place.
+REPORT = os.path.join("logs", "summary.md")
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sijill")
     sub = p.add_subparsers(dest="command", required=True)
     add = lambda name, *args: [c := sub.add_parser(name), [c.add_argument(*a, **k) for a, k in args]][0]
     out, dry = (("--out",), {"default": "laws"}), (("--dry-run",), {"action": "store_true"})
-    add("import", out, (("urls",), {"nargs": "*"}), (("--pages",), {}), (("--from-file",), {}), (("--done",), {}), (("--failed",), {}), (("--resume",), {"action": "store_true"}), (("--check-updates",), {"action": "store_true"}), (("--limit",), {"type": int}), (("--category",), {}), (("--report",), {}), (("--discover",), {"action": "store_true"}), (("--maps",), {}), (("--include-updates",), {"action": "store_true"}), (("--html",), {}), (("--source",), {}), (("--url",), {}))
+    add("import", out, (("urls",), {"nargs": "*"}), (("--pages",), {}), (("--from-file",), {}), (("--done",), {}), (("--failed",), {}), (("--resume",), {"action": "store_true"}), (("--check-updates",), {"action": "store_true"}), (("--limit",), {"type": int}), (("--category",), {}), (("--report",), {"nargs": "?", "const": REPORT}), (("--discover",), {"nargs": "?", "const": ""}), (("--maps",), {}), (("--include-updates",), {"action": "store_true"}), (("--html",), {}), (("--source",), {}), (("--url",), {}))
     add("discover", (("--maps",), {"required": True}), (("--source",), {"required": True}), (("--include-updates",), {"action": "store_true"}), (("--to",), {}))
     for name in ("reclassify", "audit-duplicates", "canonicalize-urls"):
         add(name, out, dry)
@@ -63,19 +67,34 @@ def _pages(spark: SparkSession, args):
     if not args.html:
         return spark.read.parquet(args.pages)
     with open(args.html, encoding="utf-8") as f:
-        return spark.createDataFrame([(args.url, f.read())], "url string, html string")
+        return spark.createDataFrame([(args.url or "", f.read())], "url string, html string")
+
+
+def _say_failed(maps, source, updates: bool) -> None:
+    """Submaps that are listed and can't be read, one a line."""
+    for r in sitemap.failed(maps, source.sitemap, source.hosts, updates).toLocalIterator():
+        print(f"تعذّر جلب خريطة فرعية {r.url}: {r.reason}", file=sys.stderr)
 
 
 def _import(spark: SparkSession, args) -> int:
     """Everything that is read of the corpus is settled in a folder of its own before the first file is changed: new texts are written, then old paths removed, then the logs."""
-    if args.html and not args.url or not (args.html or args.pages) or args.discover and not (args.maps and args.source):
-        print("--html needs --url, --discover needs --maps and --source; else give --pages", file=sys.stderr)
+    discovered = None if args.discover is None else [s.strip() for s in (args.discover or args.source or "").split(",") if s.strip()]
+    if args.html and not (args.url or args.source) or not (args.html or args.pages) or discovered is not None and not (args.maps and discovered):
+        print("--html needs --url or --source, --discover needs sources and --maps; else give --pages", file=sys.stderr)
         return 2
-    own = spark.createDataFrame(list(enumerate([*args.urls, *([args.url] if args.html else [])])), "ord int, url string")
+    if args.html and args.source:
+        get(args.source, parse.SOURCES)
+    own = spark.createDataFrame(list(enumerate([*args.urls, *([args.url or ""] if args.html else [])])), "ord int, url string")
     lists = [own, *([files.read_links(spark, args.from_file)] if args.from_file else [])]
-    if args.discover:
-        source = get(args.source, parse.SOURCES)
-        lists.append(sitemap.discover(spark.read.parquet(args.maps), source.sitemap, source.hosts, args.include_updates))
+    for name in discovered or []:
+        try:
+            source = get(name, parse.SOURCES)
+        except ValueError as error:  # the other sources are imported all the same
+            print(f"{name}: {error}", file=sys.stderr)
+            continue
+        maps = spark.read.parquet(args.maps)
+        _say_failed(maps, source, args.include_updates)
+        lists.append(sitemap.discover(maps, source.sitemap, source.hosts, args.include_updates))
     links = files.union_links(*lists)
     staging = os.path.join(args.out, f"_import-{uuid.uuid4().hex}")
 
@@ -88,11 +107,11 @@ def _import(spark: SparkSession, args) -> int:
     try:
         current = keep(_current(spark, args.out), "current")
         done = files.read_done(spark, args.done) if args.done and os.path.exists(args.done) else None
-        if args.resume:
+        if args.resume and not args.check_updates:  # what the corpus has is looked at again where updates are
             seen = current.select("url")
             done = seen if done is None else done.unionByName(seen)
-        made = plan(links, _pages(spark, args), current, done, args.category, known if args.check_updates else None, keep)
-        results = keep(made.results if not args.limit else corpus.until_successes(made.results, args.limit, F.col("status") != "failed"), "results")
+        made = plan(links, _pages(spark, args), current, done, args.category, known if args.check_updates else None, keep, args.limit, args.source if args.html else None)
+        results = keep(made.results, "results")
         taken = made.merged.join(results.select("url"), "url", "left_semi")
         changed = keep(taken.where("action in ('added', 'updated', 'moved')"), "changed")
         marks = made.marks.join(results.where("status = 'ok'").select("url"), "url", "left_semi")
@@ -101,11 +120,13 @@ def _import(spark: SparkSession, args) -> int:
         render.export(changed, args.out)
         render.remove(changed.where("action = 'moved'").select(F.col("old_path").alias("path")).join(changed.select("path"), "path", "left_anti"), args.out)
         marks.write.mode("overwrite").parquet(state)
-        for log, status in ((args.done, "status <> 'failed'"), (args.failed, "status = 'failed'")):
-            if log:
-                files.append_lines((r.url for r in results.where(status).select("url").toLocalIterator()), log)
         stamp = datetime.now().isoformat(timespec="seconds")
+        failed = F.concat_ws("\t", F.lit(stamp), "url", F.coalesce("reason", F.lit("")))
+        for log, status, line in ((args.done, "status <> 'failed'", F.col("url")), (args.failed, "status = 'failed'", failed)):
+            if log:
+                files.append_lines((r.line for r in results.where(status).orderBy("ord").select(line.alias("line")).toLocalIterator()), log)
         if args.report:
+            os.makedirs(os.path.dirname(os.path.abspath(args.report)), exist_ok=True)
             with open(args.report, "w", encoding="utf-8") as f:
                 report.write_summary(results, stamp, f, skipped)
         report.write_summary(results, stamp, sys.stdout, skipped)
@@ -115,8 +136,9 @@ def _import(spark: SparkSession, args) -> int:
 
 
 def _discover(spark: SparkSession, args) -> int:
-    source = get(args.source, parse.SOURCES)
-    found = sitemap.discover(spark.read.parquet(args.maps), source.sitemap, source.hosts, args.include_updates).orderBy("ord")
+    source, maps = get(args.source, parse.SOURCES), spark.read.parquet(args.maps)
+    _say_failed(maps, source, args.include_updates)
+    found = sitemap.discover(maps, source.sitemap, source.hosts, args.include_updates).orderBy("ord")
     n = 0
     with open(args.to, "w", encoding="utf-8") if args.to else contextlib.nullcontext(sys.stdout) as out:
         for n, r in enumerate(found.toLocalIterator(), 1):

@@ -18,7 +18,8 @@ from .parse import CLAUSES
 
 ARTICLE_HEADING = r"(?md)^#{2,3}[ \t]*المادة\s"
 CLAUSE_HEADING = rf"(?md)^#{{2,3}}[ \t]*(?:{'|'.join(CLAUSES)})ً?[ \t]*$"
-WORSE = "prose would replace a file with articles"
+# Fixed value: why a text isn't merged.
+WORSE = "ناتج نثري بلا مواد سيطمس ملفًا قائمًا يحوي مواد (يُحتمل تغيّر بنية المصدر)"
 
 
 def resume(links: DataFrame, done: DataFrame) -> DataFrame:

@@ -35,7 +35,11 @@ DETAILS = {
     "amendments": ["التعديلات"],
 }
 SKIPPED = "English"
-NO_TITLE, NO_ITEMS, NO_ARTICLES, NOTHING = "no title", "no article items", "no article", "no article, clause or prose"
+# Why a page gives no document.
+NO_TITLE, NO_ITEMS = "لم يُعثر على عنوان الصفحة (h1)", "لم يُعثر على أي مادة في الصفحة (li.subject)"
+NOTHING, UNKNOWN = "لم يُستخرج أي مادة أو بند أو متن من الصفحة", "مصدر غير معروف"
+#: A link without a landed page, which the reference knows as a failed request.
+NOT_LANDED = "لم تصل الصفحة"
 
 ARTICLE_TYPE = "struct<number:string,text:string,number_int:bigint,is_bis:boolean,section:string,amendment_history:array<string>>"
 #: Columns of a parsed document.
@@ -173,10 +177,13 @@ SOURCES = (
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """pages: url, source, html. Each source's pages by its parser; rows of an unknown source as errors."""
+    """pages: url, source, html. Each source's pages by its parser; rows of an unknown source, and links without a page (html is null), as errors of their own."""
     out = None
     for s in SOURCES:
-        own = s.parse(pages.where(F.col("source") == s.name))
+        own = s.parse(pages.where((F.col("source") == s.name) & F.col("html").isNotNull()))
         out = own if out is None else out.unionByName(own)
-    unknown = pages.where(~F.coalesce(F.col("source").isin(*(s.name for s in SOURCES)), F.lit(False)))
-    return out.unionByName(_shaped(unknown.select("url", "source", F.lit("unknown source").alias("error"))))
+    known = F.coalesce(F.col("source").isin(*(s.name for s in SOURCES)), F.lit(False))
+    missing = pages.where(known & F.col("html").isNull())
+    out = out.unionByName(_shaped(missing.select("url", "source", F.lit(NOT_LANDED).alias("error"))))
+    unknown = pages.where(~known)
+    return out.unionByName(_shaped(unknown.select("url", "source", F.lit(UNKNOWN).alias("error"))))

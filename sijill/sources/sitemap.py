@@ -28,12 +28,28 @@ def wanted(url: Column, hosts: Sequence[str], updates: bool = False) -> Column:
     return out if updates else out & ~url.rlike(UPDATES)
 
 
+# Why a map gives no documents.
+NOT_LANDED, NO_MAP = "not landed", "not a map"
+
+
+def _submaps(maps: DataFrame, index: str, hosts: Sequence[str], updates: bool) -> DataFrame:
+    """m (its place), url, xml, reason (null if it can be read) of the maps that an index lists and that are wanted; of a flat map, itself; of an index that can't be read, its reason."""
+    landed = maps.groupBy("url").agg(F.max("xml").alias("xml")).withColumn("there", F.lit(True))
+    top = maps.sparkSession.range(1).select(F.lit(index).alias("url")).join(landed, "url", "left")
+    nested = F.coalesce(F.contains("xml", F.lit("<sitemapindex")), F.lit(False))
+    subs = top.where(nested).select(F.posexplode(locations(F.col("xml"))).alias("m", "url")).where(wanted(F.col("url"), hosts, updates))
+    own = subs.unionByName(top.where(~nested).select(F.lit(0).alias("m"), "url")).join(landed, "url", "left")
+    return own.withColumn("reason", F.when(F.col("there").isNull(), NOT_LANDED).when(~F.coalesce(F.col("xml").rlike("<(?:urlset|sitemapindex|loc)\\b"), F.lit(False)), NO_MAP)).drop("there")
+
+
+def failed(maps: DataFrame, index: str, hosts: Sequence[str], updates: bool = False) -> DataFrame:
+    """url, reason of the maps below an index that :func:`discover` passes over because they can't be read."""
+    return _submaps(maps, index, hosts, updates).where("reason is not null").select("url", "reason").distinct()
+
+
 def discover(maps: DataFrame, index: str, hosts: Sequence[str], updates: bool = False) -> DataFrame:
-    """ord, url of the documents below one index map. A flat map lists the documents itself; submaps that are missing give none."""
-    top = maps.where(F.col("url") == index)
-    nested = F.contains("xml", F.lit("<sitemapindex"))
-    subs = top.where(nested).select(F.posexplode(locations(F.col("xml"))).alias("m", "url")).unionByName(top.where(~nested).select(F.lit(0).alias("m"), "url"))
-    listed = subs.where(wanted(F.col("url"), hosts, updates)).join(maps, "url").select("m", F.posexplode(locations(F.col("xml"))).alias("k", "url"))
+    """ord, url of the documents below one index map. A flat map lists the documents itself; submaps that can't be read give none, see :func:`failed`."""
+    listed = _submaps(maps, index, hosts, updates).where("reason is null").select("m", F.posexplode(locations(F.col("xml"))).alias("k", "url"))
     found = listed.where(on_hosts(F.col("url"), hosts)).select(F.struct("m", "k").alias("place"), canonical_url(F.col("url")).alias("url"))
     first = first_seen(found, ["url"], "place").select("place.*", "url")
     # URLs are numbered within their submap, after the counts of those before. The window over all is over submaps, which one file lists.

@@ -222,13 +222,3 @@ def test_entry_without_the_training_data_subpackage(tmp_path):
         found = subprocess.run([sys.executable, "-c", said], cwd=tmp_path, env={**os.environ, "PYTHONPATH": os.pathsep.join(p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p and os.path.abspath(p) != root)}, capture_output=True, text=True, check=True)
         n, sql, left = found.stdout.strip().split(" ", 2)
         assert int(n) >= 49 and int(sql) >= 40 and left == "[]"
-
-
-def test_stream_merges_batches(spark, tmp_path):
-    from sijill.streaming import ingest
-
-    landing, root = str(tmp_path / "landing"), str(tmp_path / "corpus")
-    for i, name in enumerate("ab"):
-        spark.createDataFrame([(f"https://nezams.com/{name}", PAGE.replace("العمل", name), None, None)], ingest.PAGES).write.mode("append").parquet(landing)
-        ingest.run(spark, landing, root).awaitTermination()
-        assert ingest.read_version(spark, root, i).count() == i + 1
