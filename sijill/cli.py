@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import argparse
 import contextlib
+import hashlib
 import os
 import shutil
 import sys
 import uuid
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.frontmatter import read_text, set_field, set_list
 from .functions.urls import canonical_url
 from .operators import corpus, parse, quality, render, report
 from .plans.ingest import plan
-from .sources import files, sitemap
+from .sources import files, headers, robots, sitemap, tables
 from .sources.registry import get
 
 
@@ -30,7 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     add = lambda name, *args: [c := sub.add_parser(name), [c.add_argument(*a, **k) for a, k in args]][0]
     out, dry = (("--out",), {"default": "laws"}), (("--dry-run",), {"action": "store_true"})
-    add("import", out, (("urls",), {"nargs": "*"}), (("--pages",), {}), (("--from-file",), {}), (("--done",), {}), (("--failed",), {}), (("--resume",), {"action": "store_true"}), (("--check-updates",), {"action": "store_true"}), (("--limit",), {"type": int}), (("--category",), {}), (("--report",), {"nargs": "?", "const": REPORT}), (("--discover",), {"nargs": "?", "const": ""}), (("--maps",), {}), (("--include-updates",), {"action": "store_true"}), (("--html",), {}), (("--source",), {}), (("--url",), {}))
+    add("import", out, (("urls",), {"nargs": "*"}), (("--pages",), {}), (("--from-file",), {}), (("--done",), {}), (("--failed",), {}), (("--resume",), {"action": "store_true"}), (("--check-updates",), {"action": "store_true"}), (("--limit",), {"type": int}), (("--category",), {}), (("--report",), {"nargs": "?", "const": REPORT}), (("--discover",), {"nargs": "?", "const": ""}), (("--maps",), {}), (("--include-updates",), {"action": "store_true"}), (("--html",), {}), (("--source",), {}), (("--url",), {}), (("--robots",), {}), (("--ignore-robots",), {"action": "store_true"}))
     add("discover", (("--maps",), {"required": True}), (("--source",), {"required": True}), (("--include-updates",), {"action": "store_true"}), (("--to",), {}))
     for name in ("reclassify", "audit-duplicates", "canonicalize-urls"):
         add(name, out, dry)
@@ -70,6 +71,15 @@ def _pages(spark: SparkSession, args):
         return spark.createDataFrame([(args.url or "", f.read())], "url string, html string")
 
 
+def _with_refused(results, refused, limited: bool):
+    """Results with the links that robots rules forbid, as failures; with a limit those before its end."""
+    if limited:
+        refused = refused.join(F.broadcast(results.agg(F.max("ord").alias("last"))), F.col("ord") <= F.col("last")).drop("last")  # one row
+    none = F.lit(None).cast("string")
+    why = F.concat(F.lit("robots.txt يمنع جلب "), "url")
+    return results.unionByName(refused.select("ord", "url", F.lit("failed").alias("status"), none.alias("title"), none.alias("doc_type"), why.alias("reason"), F.expr("cast(array() as array<string>)").alias("warnings")))
+
+
 def _say_failed(maps, source, updates: bool) -> None:
     """Submaps that are listed and can't be read, one a line."""
     for r in sitemap.failed(maps, source.sitemap, source.hosts, updates).toLocalIterator():
@@ -110,8 +120,13 @@ def _import(spark: SparkSession, args) -> int:
         if args.resume and not args.check_updates:  # what the corpus has is looked at again where updates are
             seen = current.select("url")
             done = seen if done is None else done.unionByName(seen)
+        refused = None
+        if args.robots and not args.ignore_robots:  # landed files: host, status, text
+            judged = keep(robots.judge(links, robots.rules(spark.read.parquet(args.robots))), "judged")
+            links, refused = judged.where("allowed").select("ord", "url"), judged.where("not allowed").select("ord", "url")
+            refused = refused if done is None else corpus.resume(refused, done)
         made = plan(links, _pages(spark, args), current, done, args.category, known if args.check_updates else None, keep, args.limit, args.source if args.html else None)
-        results = keep(made.results, "results")
+        results = keep(made.results if refused is None else _with_refused(made.results, refused, bool(args.limit)), "results")
         taken = made.merged.join(results.select("url"), "url", "left_semi")
         changed = keep(taken.where("action in ('added', 'updated', 'moved')"), "changed")
         marks = made.marks.join(results.where("status = 'ok'").select("url"), "url", "left_semi")
@@ -149,22 +164,29 @@ def _discover(spark: SparkSession, args) -> int:
 def _reclassify(spark: SparkSession, args) -> int:
     read = files.fields(files.read_corpus(spark, args.out)).withColumn("is_decision", F.col("text").rlike(corpus.CLAUSE_HEADING) & ~F.col("text").rlike(corpus.ARTICLE_HEADING))
     moves = corpus.reclassify(read)
-    for r in moves.groupBy("action").count().collect():
-        print(r.action, r["count"])
-    if not args.dry_run:
+    counts = Observation("actions")
+    moves = moves.observe(counts, *(F.count_if(F.col("action") == a).alias(a) for a in corpus.ACTIONS))
+    if args.dry_run:
+        moves.write.format("noop").mode("overwrite").save()
+    else:
         text = set_field(set_field(F.col("text"), "doc_type", F.col("new_type")), "category", F.col("new_category"))
         due = moves.where("action in ('move', 'fields')").join(read.select("path", "text"), "path").select("path", "new_path", "action", text.alias("text"))
         with _settled(due, args.out) as due:
             render.export(due.select(F.col("new_path").alias("path"), "text"), args.out)
             render.remove(due.where("action = 'move'").select("path"), args.out)
+    for action, n in counts.get.items():
+        if n:
+            print(action, n)
     return 0
 
 
 def _audit_duplicates(spark: SparkSession, args) -> int:
     read = files.fields(files.read_corpus(spark, args.out))
-    due = corpus.siblings(read).where("touched")
-    print(corpus.duplicate_groups(read).count(), due.count())
+    sets, counts = corpus.sibling_sets(read), Observation("siblings")
+    due = tables.kept(sets.observe(counts, F.count("*").alias("files"), F.count_if("touched").alias("touched")).where("touched").select("path", "title"), "siblings-due")
+    print(counts.get["files"], counts.get["touched"])
     if not args.dry_run:
+        due = corpus.siblings(read).join(due.select("path"), "path", "left_semi")
         with _settled(due.join(read.select("path", "text"), "path").select("path", set_list(F.col("text"), "also_available_from", F.col("siblings")).alias("text")), args.out) as made:
             render.export(made, args.out)
     return 0
@@ -172,12 +194,15 @@ def _audit_duplicates(spark: SparkSession, args) -> int:
 
 def _canonicalize_urls(spark: SparkSession, args) -> int:
     read = files.fields(files.read_corpus(spark, args.out))
-    due = corpus.canonicalise(read).where("url_changed or list_changed")
-    print(due.where("url_changed").count(), due.where("list_changed").count())
-    if not args.dry_run:
+    counts = Observation("changes")
+    due = corpus.canonicalise(read).observe(counts, F.count_if("url_changed").alias("urls"), F.count_if("list_changed").alias("lists")).where("url_changed or list_changed")
+    if args.dry_run:
+        due.write.format("noop").mode("overwrite").save()
+    else:
         text = set_list(set_field(F.col("text"), "source_url", F.col("source_url")), "also_available_from", F.col("also_available_from"))
         with _settled(due.join(read.select("path", "text"), "path").select("path", text.alias("text")), args.out) as made:
             render.export(made, args.out)
+    print(counts.get["urls"], counts.get["lists"])
     return 0
 
 
@@ -189,18 +214,28 @@ def _lint(spark: SparkSession, args) -> int:
     return int(quality.lint_summary(found, read, args.strict).first().failed)
 
 
-def _index(spark: SparkSession, args) -> int:
-    import os
-    import tempfile
+def _digest(path: str) -> str:
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
 
-    entries = report.index(files.fields(files.read_corpus(spark, args.out)))
+def _index(spark: SparkSession, args) -> int:
+    """The index file, and beside it a table of its ranges with their digests: a check compares those, and the file's own digest, and writes nothing."""
+    entries, ranges = report.index(headers.fields(headers.read_headers(spark, args.out))), f"{args.to}.ranges"
     if not args.check:
         report.write_index(entries, args.to)
+        report.write_ranges(entries, ranges)
+        with open(os.path.join(ranges, "file.sha256"), "w", encoding="utf-8") as f:
+            f.write(_digest(args.to))
         return 0
-    with tempfile.NamedTemporaryFile("r", encoding="utf-8", suffix=".json") as new:
-        report.write_index(entries, new.name)
-        same = os.path.exists(args.to) and open(args.to, encoding="utf-8").read() == open(new.name, encoding="utf-8").read()
-    return int(not same)
+    mark = os.path.join(ranges, "file.sha256")
+    if not (os.path.exists(args.to) and os.path.exists(mark)) or open(mark, encoding="utf-8").read() != _digest(args.to):
+        return 1
+    found = report.changes(entries, ranges)
+    n = 0
+    for n, r in enumerate(found.orderBy("path", "change").toLocalIterator(), 1):
+        print(f"{r.change}: {r.path}")
+    return int(bool(n))
 
 
 def _smoke(spark: SparkSession, args) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import present, quoted, unquoted
+from .text import let, present, quoted, unquoted
 
 HEADER = r"(?s)\A---\n(.*?\n)---(?:\n|\z)"
 
@@ -19,9 +19,24 @@ def body(text: Column) -> Column:
     return F.when(text.rlike(r"(?s)\A---\n.*?\n---\n"), F.regexp_extract(text, r"(?s)\A---\n.*?\n---\n(.*)", 1)).otherwise(text)
 
 
+def cut(text: Column) -> Column:
+    """(header, body) of a text, which is matched once: :func:`header` and :func:`body` in one."""
+
+    def parts(whole: Column) -> Column:
+        own = F.when(whole != "", F.regexp_replace(F.substr(whole, F.lit(5)), r"---\n?\z", ""))
+        return F.struct(own.alias("header"), F.when(F.endswith(whole, F.lit("---\n")), F.substr(text, F.char_length(whole) + 1)).otherwise(text).alias("body"))
+
+    return let(F.regexp_extract(text, HEADER, 0), parts)
+
+
+def field_in(head: Column, field: str) -> Column:
+    """The first value of a field in a header, as written; null if empty."""
+    return present(F.regexp_extract(head, rf'(?md)^{field}:[ \t]*"?(.*?)"?[ \t]*$', 1))
+
+
 def read_field(text: Column, field: str) -> Column:
     """The first value of a field in the header (in all of a text without one), as written; null if empty."""
-    return present(F.regexp_extract(F.coalesce(header(text), text), rf'(?md)^{field}:[ \t]*"?(.*?)"?[ \t]*$', 1))
+    return field_in(F.coalesce(header(text), text), field)
 
 
 def read_text(text: Column, field: str) -> Column:
@@ -31,7 +46,11 @@ def read_text(text: Column, field: str) -> Column:
 
 def read_list(text: Column, field: str) -> Column:
     """A list field as an array. Values are read as JSON, so commas in them are kept."""
-    raw = F.regexp_extract(F.coalesce(header(text), text), rf"(?md)^{field}:[ \t]*(\[.*\])[ \t]*$", 1)
+    return list_in(F.coalesce(header(text), text), field)
+
+
+def list_in(head: Column, field: str) -> Column:
+    raw = F.regexp_extract(head, rf"(?md)^{field}:[ \t]*(\[.*\])[ \t]*$", 1)
     return F.coalesce(F.from_json(F.nullif(raw, F.lit("")), "array<string>"), F.expr("cast(array() as array<string>)"))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: White space of Unicode; ``\s`` alone is ASCII in Java patterns.
 SPACE = r"[\s\u0085\p{Z}\x1c-\x1f]"
+#: The same, one after another.
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: What ends a word: ``\b`` differs between engines after Arabic letters.
 WORD_END = r"(?![\p{L}\p{N}_])"
 
@@ -29,7 +31,7 @@ def squeeze(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def fold_arabic(text: Column) -> Column:

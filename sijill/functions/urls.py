@@ -30,6 +30,11 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(_part(strip(url), 2), "^[^@]*@", ""), r":\d*$", ""))
 
 
+def authority(url: Column) -> Column:
+    """Host as written, with user and port."""
+    return _part(strip(url), 2)
+
+
 def canonical_url(url: Column) -> Column:
     """The form under which a document is known: scheme and host in lower case, path decoded, no user, no fragment."""
 

@@ -157,6 +157,10 @@ def upsert(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return merged.select("url", "path", F.coalesce("n.text", "old_text").alias("text"), "old_path", action.alias("action"))
 
 
+#: What becomes of a file.
+ACTIONS = ("unchanged", "fields", "move", "conflict", "skipped")
+
+
 def reclassify(files: DataFrame) -> DataFrame:
     """path, new_path, new_type, new_category, action ('unchanged', 'fields', 'move', 'conflict', 'skipped') for files (path, title, source_url, doc_type, category, is_decision).
 
@@ -191,6 +195,29 @@ def siblings(files: DataFrame) -> DataFrame:
     return own.join(sets, "title").select("path", "title", "url", others.alias("siblings"), (~others.eqNullSafe(F.col("also_available_from"))).alias("touched"))
 
 
+def sibling_sets(files: DataFrame) -> DataFrame:
+    """path, title, url, n_siblings, touched: as :func:`siblings`, without the lists, for titles that any number of files share.
+
+    A title's set of URLs is a sum of hashes, over distinct pairs of title and URL, so that a
+    hot title is added up in parts; without a file's own hash it is what its stored list must
+    add up to (two sums and the size; the list must be sorted and without repeats). Lists
+    are made by :func:`siblings`, for the files that are to be written.
+    """
+    own = files.where(F.col("title").isNotNull()).select("path", "title", canonical_url(F.col("source_url")).alias("url"), "also_available_from")
+    mark = lambda salt, u: F.xxhash64(u, F.lit(salt)).cast("decimal(38,0)")
+    total = lambda salt: F.sum(mark(salt, F.col("url"))).alias(f"sum{salt}")
+    sets = own.where("url <> ''").select("title", "url").distinct().groupBy("title").agg(F.count("*").alias("n"), total(0), total(1))
+    many = own.groupBy("title").agg(F.count("*").alias("files")).where("files > 1").join(sets, "title", "left")
+    zero = F.lit(0).cast("decimal(38,0)")
+    mine = F.col("url") != ""
+    rest = lambda salt: F.coalesce(f"sum{salt}", zero) - F.when(mine, mark(salt, F.col("url"))).otherwise(zero)
+    n = F.coalesce("n", F.lit(0)) - F.coalesce(mine.cast("int"), F.lit(0))
+    held = F.coalesce("also_available_from", F.expr("cast(array() as array<string>)"))
+    stored = lambda salt: F.aggregate(held, zero, lambda s, u: (s + mark(salt, u)).cast("decimal(38,0)"))
+    same = (F.size(held) == n) & (stored(0) == rest(0)) & (stored(1) == rest(1)) & (held == F.array_sort(F.array_distinct(held)))
+    return own.join(many, "title").select("path", "title", "url", n.cast("long").alias("n_siblings"), (~F.coalesce(same & F.col("also_available_from").isNotNull(), F.lit(False))).alias("touched"))
+
+
 def canonicalise(files: DataFrame) -> DataFrame:
     """files (path, source_url, also_available_from) with canonical fields and what changed: own URL dropped from the list, repeats too, order kept."""
     url = canonical_url(F.col("source_url"))

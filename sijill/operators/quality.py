@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.frontmatter import body, read_field, read_text
+from ..functions.frontmatter import cut, field_in
 from ..functions.ordinals import label_pattern, parse_label
 from ..functions.paths import UNCATEGORIZED, file_name
-from ..functions.text import SPACE, present, strip
+from ..functions.text import SPACE, present, strip, unquoted
 from ..sources.files import README
 from .parse import CLAUSES
 
@@ -116,13 +116,15 @@ def category_issue(category: Column, folder: Column) -> Column:
 
 
 def lint(corpus: DataFrame) -> DataFrame:
-    """path, severity, rule, ord, message of corpus files (path, text)."""
-    text = F.col("text")
+    """path, severity, rule, ord, message of corpus files (path, text). A file is cut into header and body once; fields are looked up in the header alone, and in all of a file without one."""
     names = F.split("path", "/")
-    files = corpus.where(F.element_at(names, -1) != README).select("path", "text", body(text).alias("body"), F.coalesce(F.try_element_at(names, F.lit(-2)), F.lit("")).alias("folder"))
-    title, noise = F.coalesce(read_text(text, "title"), F.lit("")), first_match(F.col("body"), NOISE)
-    odd = category_issue(read_text(text, "category"), F.col("folder"))
-    found = [F.when(read_field(text, f).isNull(), _issue("error", "V8", i, F.lit(f"حقل إلزامي ناقص: {f}"))) for i, f in enumerate(REQUIRED)]
+    files = corpus.where(F.element_at(names, -1) != README).select("path", cut(F.col("text")).alias("cut"), F.coalesce(F.try_element_at(names, F.lit(-2)), F.lit("")).alias("folder"))
+    files = files.select("path", F.coalesce("cut.header", "cut.body").alias("head"), F.col("cut.body").alias("body"), "folder")
+    fields = [field_in(F.col("head"), f).alias(f"_{f}") for f in (*REQUIRED, "category")]
+    files = files.select("path", "body", "folder", *fields, first_match(F.col("body"), NOISE).alias("noise"))
+    title, noise = F.coalesce(unquoted(F.col("_title")), F.lit("")), F.col("noise")
+    odd = category_issue(unquoted(F.col("_category")), F.col("folder"))
+    found = [F.when(F.col(f"_{f}").isNull(), _issue("error", "V8", i, F.lit(f"حقل إلزامي ناقص: {f}"))) for i, f in enumerate(REQUIRED)]
     found += [
         F.when(broken_title(title), _issue("error", "V3", 0, F.concat(F.lit("عنوان معطوب: «"), title, F.lit("»")))),
         F.when(noise.isNotNull(), _issue("error", "V6", 0, F.concat(F.lit("ضجيج واجهة في المتن: «"), noise, F.lit("»")))),

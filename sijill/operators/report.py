@@ -88,12 +88,78 @@ def stale(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.select("path", "entry").exceptAll(new.select("path", "entry")).withColumn("change", F.lit("removed")).unionByName(new.select("path", "entry").exceptAll(old.select("path", "entry")).withColumn("change", F.lit("added")))
 
 
+#: Ranges that a folder's files are dealt into.
+DEALT = 16
+
+
+def ranged(entries: DataFrame) -> DataFrame:
+    """entries (path, entry) with the range that each belongs to: its folder, and a share of that by hash."""
+    return entries.select(F.substring_index("path", "/", 1).alias("folder"), F.pmod(F.xxhash64("path"), F.lit(DEALT)).cast("int").alias("share"), "path", "entry")
+
+
+def digests(entries: DataFrame, *by: str) -> DataFrame:
+    """n, digest of entries by range, by folder or of all: sums of hashes, so that a range's parts are added up wherever they lie."""
+    mark = lambda salt: F.sum(F.xxhash64("path", "entry", F.lit(salt)).cast("decimal(38,0)")).cast("string")
+    return entries.groupBy(*by).agg(F.count("*").alias("n"), F.concat_ws(":", mark(0), mark(1)).alias("digest"))
+
+
+def write_ranges(entries: DataFrame, root: str) -> None:
+    """The index as a table by ranges, and the digests of these."""
+    own = ranged(entries)
+    own.repartition("folder", "share").write.mode("overwrite").partitionBy("folder", "share").parquet(f"{root}/entries")
+    digests(own, "folder", "share").write.mode("overwrite").parquet(f"{root}/digests")
+
+
+def changes(entries: DataFrame, root: str) -> DataFrame:
+    """change, path, entry: what tells the index at ``root`` from ``entries``.
+
+    Digests are compared range by range; of the stored index only ranges that differ are
+    read. The driver gets their names, ``DEALT`` a folder at most.
+    """
+    spark, own = entries.sparkSession, ranged(entries)
+    old = spark.read.schema("path string, entry string, folder string, share int").parquet(f"{root}/entries")
+    was = spark.read.parquet(f"{root}/digests").withColumnsRenamed({"n": "m", "digest": "was"})
+    now = digests(own, "folder", "share")
+    differ = now.join(was, ["folder", "share"], "full_outer").where(~(F.col("n").eqNullSafe(F.col("m")) & F.col("digest").eqNullSafe(F.col("was"))))
+    due = [(r.folder, r.share) for r in differ.select("folder", "share").collect()]
+    within = F.struct("folder", "share").isin(*(F.struct(F.lit(f), F.lit(s)) for f, s in due)) if due else F.lit(False)
+    folders = sorted({f for f, _ in due})  # by themselves, so that the scan leaves out other folders' files
+    return stale(old.where(F.col("folder").isin(folders) & within), own.where(within))
+
+
 def write_index(entries: DataFrame, path: str) -> None:
-    """The index as one pretty JSON file, streamed row by row."""
+    """The index as one pretty JSON file: entries are put in form and in order by tasks, and their parts copied together, each entry with its separator before it."""
     import json
-
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("[")
-        for i, r in enumerate(entries.toLocalIterator()):
-            f.write(("," if i else "") + "\n  " + json.dumps(json.loads(r.entry), ensure_ascii=False, indent=2).replace("\n", "\n  "))
-        f.write("\n]\n")
+    import os
+
+    from ..sources.tables import remove_path, shared_dir
+
+    def formed(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([",\n  " + json.dumps(json.loads(x), ensure_ascii=False, indent=2).replace("\n", "\n  ") for x in b.column(0).to_pylist()], pa.string())], names=["value"])
+
+    spark = entries.sparkSession
+    parts = f"{shared_dir(spark)}/sijill/index-{os.urandom(8).hex()}"
+    entries.orderBy(F.split("path", "/")).select("entry").mapInArrow(formed, "value string").write.option("lineSep", "\x00").text(parts)
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        at = jvm.org.apache.hadoop.fs.Path(parts)
+        names = sorted(s.getPath().toString() for s in at.getFileSystem(conf).listStatus(at) if s.getPath().getName().startswith("part-"))
+        wrote = False
+        with open(path, "wb") as f:
+            for block in _blocks(spark, names):
+                f.write(block if wrote else b"[" + block[1:])
+                wrote = True
+            f.write(b"\n]\n" if wrote else b"[\n]\n")
+    finally:
+        remove_path(spark, parts)
+
+
+def _blocks(spark, names: list[str]):
+    """The bytes of files one after another, without the separators of rows."""
+    for name in names:
+        for r in spark.read.format("binaryFile").load(name).select("content").toLocalIterator():
+            if block := bytes(r.content).replace(b"\x00", b""):
+                yield block

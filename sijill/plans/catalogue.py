@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, frontmatter, ordinals, paths, text, urls
 from ..operators import corpus, parse, quality, render, report
-from ..sources import files, html, registry, sitemap
+from ..sources import files, html, registry, robots, sitemap
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,6 +93,47 @@ def source_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").groupBy(registry.detect(F.col("url"), sources).alias("source")).agg(F.count("*").alias("n"))
 
 
+@query("""
+WITH r AS (SELECT 'c' || c_custkey || '.test' AS host, c_custkey AS rank, c_mktsegment AS name FROM customer UNION ALL SELECT 'c' || n_nationkey || '.test', -1 - n_nationkey, n_name FROM nation),
+f AS (SELECT host, arg_min(name, rank) AS name FROM r GROUP BY host)
+SELECT o_orderkey, f.name AS source FROM orders LEFT JOIN f ON o_orderkey % 7 <> 0 AND f.host = 'c' || o_custkey || '.test'""")
+def source_detect_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry with a host for every customer, in which nations come first; orders' URLs are on subdomains of these, or of none."""
+    key, rank = F.col("c_custkey"), F.col("c_custkey").cast("long")
+    named = table(spark, sf_dir, "customer").select(rank.alias("rank"), F.col("c_mktsegment").alias("name"), F.concat(F.lit("c"), key, F.lit(".test")).alias("host"))
+    first = table(spark, sf_dir, "nation").select((-1 - F.col("n_nationkey").cast("long")).alias("rank"), F.col("n_name").alias("name"), F.concat(F.lit("C"), "n_nationkey", F.lit(".test")).alias("host"))
+    sub = F.when(F.col("o_orderkey") % 7 == 0, "a.x").when(F.col("o_orderkey") % 3 == 0, "a.b.").when(F.col("o_orderkey") % 3 == 1, "").otherwise("www.")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("https://"), sub, F.lit("c"), "o_custkey", F.lit(".test:8080/"), "o_orderkey").alias("url"))
+    return registry.detect_by(orders, named.unionByName(first)).select("o_orderkey", "source")
+
+
+#: Files of three kinds of hosts: one with groups for several agents, one with an empty rule, one that isn't there.
+ROBOTS = ("User-agent: Other\nDisallow: /\n\n# ours\nUser-Agent: SIJ\nUser-agent: more\nAllow: /%65n/a\nDisallow: /en\nCrawl-delay: 3\n\nDisallow: /fr\nUser-agent: *\nDisallow: /", "User-agent: *\nDisallow: /fr/\nDisallow:\nDisallow: /de/", "gone")
+
+
+@query(f"""
+WITH p AS (SELECT page_id, length({S_HOST}) % 3 AS kind, {S_PATH} AS path FROM pages)
+SELECT page_id, CASE kind WHEN 0 THEN starts_with(path, '/en/a') OR NOT starts_with(path, '/en') WHEN 1 THEN NOT starts_with(path, '/fr/') ELSE true END AS allowed FROM p""")
+def robots_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    kind = F.char_length(urls.authority(F.col("url"))) % 3
+    sites = pages.select(urls.host(F.col("url")).alias("host"), kind.alias("kind")).distinct()
+    text = F.when(F.col("kind") == 0, ROBOTS[0]).when(F.col("kind") == 1, ROBOTS[1]).otherwise(ROBOTS[2])
+    landed = sites.select("host", F.when(F.col("kind") == 2, 404).otherwise(200).alias("status"), text.alias("text"))
+    return robots.judge(pages, robots.rules(landed)).select("page_id", "allowed")
+
+
+@query(f"""
+WITH p AS (SELECT page_id, {S_H1} AS title, {S_CANON} AS own FROM pages),
+g AS (SELECT title, count(*) AS files, count(DISTINCT own) AS n FROM p GROUP BY title HAVING count(*) > 1)
+SELECT CAST(page_id AS VARCHAR) AS path, n - 1 AS n_siblings, CASE WHEN page_id % 2 = 0 THEN n <> 1 ELSE true END AS touched FROM p JOIN g USING (title)""")
+def sibling_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other file has an empty list, the rest a list of one URL that isn't of its set."""
+    listed = F.when(F.col("page_id") % 2 == 0, F.expr("cast(array() as array<string>)")).otherwise(F.array(F.lit("https://none.test/")))
+    own = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), h1(F.col("html")).alias("title"), F.col("url").alias("source_url"), listed.alias("also_available_from"))
+    return corpus.sibling_sets(own).select("path", "n_siblings", "touched")
+
+
 @query("""
 WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, 'href="([^"]*)"', 1), 1) - 1 AS pos FROM pages)
 SELECT page_id, href, min(pos)::INTEGER AS pos FROM l GROUP BY page_id, href""")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import on_hosts
+from ..functions.urls import host, on_hosts
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,21 @@ def detect(url: Column, sources: Sequence[Source]) -> Column:
     return out
 
 
+def detect_by(urls: DataFrame, registry: DataFrame) -> DataFrame:
+    """``urls`` (url, …) with source: the name of least rank one of whose hosts the URL is on, else null. registry: rank, name, host.
+
+    For registries of any size: every distinct host is cut to the suffixes that a registry's
+    host can be, and these join it by equality.
+    """
+    own = urls.withColumn("_host", host(F.col("url")))
+    labels = F.split("_host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    cuts = own.select("_host").where("_host <> ''").distinct().select("_host", F.explode(suffixes).alias("suffix"))
+    known = registry.select("rank", "name", F.lower("host").alias("suffix"))
+    found = cuts.join(known, "suffix").groupBy("_host").agg(F.min(F.struct("rank", "name"))["name"].alias("source"))
+    return own.join(found, "_host", "left").drop("_host")
+
+
 def get(name: str, sources: Sequence[Source]) -> Source:
     for s in sources:
         if s.name == name:
