@@ -18,10 +18,12 @@ from .functions.frontmatter import read_text, set_field, set_list
 from .functions.urls import canonical_url
 from .operators import corpus, parse, quality, render, report
 from .plans.ingest import plan
-from .sources import files, headers, robots, sitemap, tables
+from .sources import files, headers, landing, robots, sitemap, tables
 from .sources.registry import get
 
 
+#: How live pages are asked for.
+TRANSPORT = landing.http
 #: Where a report goes that is asked for without a place.
 REPORT = os.path.join("logs", "summary.md")
 
@@ -31,7 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     add = lambda name, *args: [c := sub.add_parser(name), [c.add_argument(*a, **k) for a, k in args]][0]
     out, dry = (("--out",), {"default": "laws"}), (("--dry-run",), {"action": "store_true"})
-    add("import", out, (("urls",), {"nargs": "*"}), (("--pages",), {}), (("--from-file",), {}), (("--done",), {}), (("--failed",), {}), (("--resume",), {"action": "store_true"}), (("--check-updates",), {"action": "store_true"}), (("--limit",), {"type": int}), (("--category",), {}), (("--report",), {"nargs": "?", "const": REPORT}), (("--discover",), {"nargs": "?", "const": ""}), (("--maps",), {}), (("--include-updates",), {"action": "store_true"}), (("--html",), {}), (("--source",), {}), (("--url",), {}), (("--robots",), {}), (("--ignore-robots",), {"action": "store_true"}))
+    add("import", out, (("urls",), {"nargs": "*"}), (("--pages",), {}), (("--from-file",), {}), (("--done",), {}), (("--failed",), {}), (("--resume",), {"action": "store_true"}), (("--check-updates",), {"action": "store_true"}), (("--limit",), {"type": int}), (("--category",), {}), (("--report",), {"nargs": "?", "const": REPORT}), (("--discover",), {"nargs": "?", "const": ""}), (("--maps",), {}), (("--include-updates",), {"action": "store_true"}), (("--html",), {}), (("--source",), {}), (("--url",), {}), (("--robots",), {}), (("--ignore-robots",), {"action": "store_true"}), (("--delay",), {"type": float, "default": 1.5}), (("--timeout",), {"type": float, "default": 30}))
     add("discover", (("--maps",), {"required": True}), (("--source",), {"required": True}), (("--include-updates",), {"action": "store_true"}), (("--to",), {}))
     for name in ("reclassify", "audit-duplicates", "canonicalize-urls"):
         add(name, out, dry)
@@ -71,6 +73,17 @@ def _pages(spark: SparkSession, args):
         return spark.createDataFrame([(args.url or "", f.read())], "url string, html string")
 
 
+def _live(spark: SparkSession, args, keep):
+    """Lands the pages of links as they are asked for; what the corpus has validators of, conditionally where updates are checked."""
+    index = files.source_index(files.read_corpus(spark, args.out)).select("url", "etag", "last_modified") if args.check_updates else None
+
+    def pages(links):
+        asked = links if index is None else links.join(index, "url", "left")
+        return keep(landing.land(asked, TRANSPORT, delay=args.delay, timeout=args.timeout, robots=not args.ignore_robots), f"landed-{uuid.uuid4().hex}")
+
+    return pages
+
+
 def _with_refused(results, refused, limited: bool):
     """Results with the links that robots rules forbid, as failures; with a limit those before its end."""
     if limited:
@@ -89,8 +102,8 @@ def _say_failed(maps, source, updates: bool) -> None:
 def _import(spark: SparkSession, args) -> int:
     """Everything that is read of the corpus is settled in a folder of its own before the first file is changed: new texts are written, then old paths removed, then the logs."""
     discovered = None if args.discover is None else [s.strip() for s in (args.discover or args.source or "").split(",") if s.strip()]
-    if args.html and not (args.url or args.source) or not (args.html or args.pages) or discovered is not None and not (args.maps and discovered):
-        print("--html needs --url or --source, --discover needs sources and --maps; else give --pages", file=sys.stderr)
+    if args.html and not (args.url or args.source) or discovered is not None and not (args.maps and discovered):
+        print("--html needs --url or --source, --discover needs sources and --maps", file=sys.stderr)
         return 2
     if args.html and args.source:
         get(args.source, parse.SOURCES)
@@ -125,7 +138,8 @@ def _import(spark: SparkSession, args) -> int:
             judged = keep(robots.judge(links, robots.rules(spark.read.parquet(args.robots))), "judged")
             links, refused = judged.where("allowed").select("ord", "url"), judged.where("not allowed").select("ord", "url")
             refused = refused if done is None else corpus.resume(refused, done)
-        made = plan(links, _pages(spark, args), current, done, args.category, known if args.check_updates else None, keep, args.limit, args.source if args.html else None)
+        pages = _pages(spark, args) if args.html or args.pages else _live(spark, args, keep)
+        made = plan(links, pages, current, done, args.category, known if args.check_updates else None, keep, args.limit, args.source if args.html else None)
         results = keep(made.results if refused is None else _with_refused(made.results, refused, bool(args.limit)), "results")
         taken = made.merged.join(results.select("url"), "url", "left_semi")
         changed = keep(taken.where("action in ('added', 'updated', 'moved')"), "changed")

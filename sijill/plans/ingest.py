@@ -19,6 +19,8 @@ from ..sources.registry import detect
 
 
 Keep = Callable[[DataFrame, str], DataFrame]
+#: Landed pages, or what lands those of some links.
+Pages = DataFrame | Callable[[DataFrame], DataFrame]
 NO_LIST = "cast(array() as array<string>)"
 
 
@@ -40,23 +42,26 @@ class Ingest:
         return corpus.upsert(self.current, self.incoming)
 
 
-def _read(urls: DataFrame, pages: DataFrame, current: DataFrame, category: str | None, known: DataFrame | None, keep: Keep, name: str, source: str | None) -> tuple[DataFrame, DataFrame | None]:
+def _read(urls: DataFrame, pages: Pages, current: DataFrame, category: str | None, known: DataFrame | None, keep: Keep, name: str, source: str | None) -> tuple[DataFrame, DataFrame | None]:
     """Documents of the links, with the reason where there is none, and the links whose pages haven't changed."""
     blank = F.lit(None).cast("string")
-    extra = [F.col(n).alias(n) if n in pages.columns else blank.alias(n) for n in ("etag", "last_modified", "fetched_at")]
-    captures = pages.select(canonical_url(F.col("url")).alias("url"), F.coalesce("html", F.lit("")).alias("html"), *extra).withColumn("digest", F.sha2("html", 256))
-    one = F.max_by(F.struct("html", "etag", "last_modified", "digest"), F.struct("fetched_at", "digest"))
+    pages = pages(urls) if callable(pages) else pages
+    extra = [F.col(n).alias(n) if n in pages.columns else blank.alias(n) for n in ("etag", "last_modified", "fetched_at", "status", "reason")]
+    html = F.when(~F.col("status").eqNullSafe("failed"), F.coalesce("html", F.lit("")))
+    captures = pages.select(canonical_url(F.col("url")).alias("url"), "html", *extra).withColumn("html", html).withColumn("digest", F.sha2("html", 256))
+    one = F.max_by(F.struct("html", "etag", "last_modified", "digest", F.col("status").alias("landed"), F.col("reason").alias("why")), F.struct("fetched_at", "digest"))
     landed = captures.join(urls.select("url"), "url", "left_semi").groupBy("url").agg(one.alias("c")).select("url", "c.*")
     rows = urls.join(landed, "url", "left").withColumn("source", F.lit(source) if source else detect(F.col("url"), parse.SOURCES))
     same = None
     if known is not None:
-        marked = corpus.changed(rows, known)
+        marked = corpus.changed(rows, known).withColumn("status", F.when(F.col("landed") == "unchanged", "unchanged").otherwise(F.col("status")))
         same, rows = marked.where("status = 'unchanged'").select("ord", "url"), marked.where("status <> 'unchanged'").drop("status")
     parsed = parse.parse(rows.select("url", "source", "html"))
     typed = parsed.withColumn("doc_type", doc_type(F.col("title"), F.col("url"), F.col("is_decision")))
     typed = typed.withColumn("category", F.lit(category) if category else resolve_category(F.col("category"), F.col("doc_type")))
     guarded = corpus.guard(typed, current).withColumn("reason", F.coalesce("error", "reason")).withColumn("retrieved_at", F.current_date().cast("string"))
-    documents = keep(guarded.join(rows.select("url", "ord", "etag", "last_modified", "digest"), "url"), name)
+    found = guarded.join(rows.select("url", "ord", "etag", "last_modified", "digest", "why"), "url")
+    documents = keep(found.withColumn("reason", F.when(F.col("reason").isNotNull(), F.coalesce("why", "reason"))).drop("why"), name)
     return documents, None if same is None else keep(same, f"{name}-same")
 
 
@@ -85,8 +90,8 @@ def _rounds(urls: DataFrame, limit: int, read) -> tuple[DataFrame, DataFrame | N
         size = 2 * tried if not found else min(2 * tried, ceil(1.1 * (limit - found) * tried / found) + 1)
 
 
-def plan(links: DataFrame, pages: DataFrame, current: DataFrame, done: DataFrame | None = None, category: str | None = None, known: DataFrame | None = None, keep: Keep = lambda df, name: df, limit: int | None = None, source: str | None = None) -> Ingest:
-    """links: ord, url. pages: url, html[, etag, last_modified, fetched_at]. current: url, path, text. known: url, etag, digest of the last refresh.
+def plan(links: DataFrame, pages: Pages, current: DataFrame, done: DataFrame | None = None, category: str | None = None, known: DataFrame | None = None, keep: Keep = lambda df, name: df, limit: int | None = None, source: str | None = None) -> Ingest:
+    """links: ord, url. pages: url, html[, etag, last_modified, fetched_at, status (ok, unchanged, failed), reason], or what gives them for links, once for each. current: url, path, text. known: url, etag, digest of the last refresh.
 
     What is done is dropped before a page is parsed, and so is what hasn't changed; a
     failure is a row and never ends the run. Of several captures of a canonical URL the

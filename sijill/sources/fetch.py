@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from urllib.parse import urlsplit
 from urllib.robotparser import RobotFileParser
 
@@ -25,6 +25,14 @@ class Answer:
     headers: dict[str, str] = field(default_factory=dict)
     raw: bytes = b""
 
+    def decoded(self) -> Answer:
+        """With the text that the bytes are in the answer's encoding, UTF-8 where it has none or one that isn't known."""
+        try:
+            text = self.raw.decode(self.encoding or "utf-8", "replace")
+        except LookupError:
+            text = self.raw.decode("utf-8", "replace")
+        return replace(self, text=text)
+
 
 @dataclass(frozen=True)
 class Page:

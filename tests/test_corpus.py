@@ -180,7 +180,7 @@ def test_import_moves_updates_and_runs_again(spark, tmp_path, capsys):
     assert cli.main(["import", "--html", str(tmp_path / "one.html"), "--url", "https://nezams.com/b", "--out", out, "--failed", str(tmp_path / "failed")]) == 0
     assert len(texts()) == 2 and (tmp_path / "failed").read_text() == ""
     assert not [x for x in (tmp_path / "laws").iterdir() if x.name.startswith(("_import", "_settled"))]
-    assert cli.main(["import", "--html", "x", "--out", out]) == 2
+    assert cli.main(["import", "--html", "x", "--out", out]) == cli.main(["import", "--discover", "--out", out, url]) == 2
 
 
 def test_two_captures_of_a_page_are_one_document(spark):

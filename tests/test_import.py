@@ -122,3 +122,46 @@ def test_command_discovers_several_sources(spark, tmp_path, capsys):
     assert len(files.read_corpus(spark, out).collect()) == 1 and "unheard" in said and "gone.xml" in said and "bad.xml" in said and "qanoonsa.com/wp-sitemap.xml" in said
     bad = sitemap.failed(spark.createDataFrame(maps, "url string, xml string"), index, ("nezams.com",))
     assert {(os.path.basename(r.url), r.reason) for r in bad.collect()} == {("gone.xml", sitemap.NOT_LANDED), ("bad.xml", sitemap.NO_MAP)}
+
+
+def site():
+    """A site of a few pages: one is refused by its rules, one can't be reached, one is gone, one hasn't changed. Workers get it by value."""
+    from sijill.sources.fetch import Answer
+
+    pages = {"/same": page("ثابت"), "/a": page("أ"), "/no": page("لا")}
+
+    def served(url, headers, timeout):
+        place = url.split("nezams.com")[-1]
+        if place == "/robots.txt":
+            return Answer(200, "User-agent: *\nDisallow: /no")
+        if place == "/same" and headers.get("If-None-Match") == "e1":
+            return Answer(304)
+        if place == "/down":
+            raise OSError("no route")
+        return Answer(200, pages[place], headers={"ETag": "e1"}) if place in pages else Answer(404)
+
+    return served
+
+
+def test_command_lands_live_pages(spark, tmp_path, monkeypatch, capsys):
+    from sijill import cli as command
+
+    monkeypatch.setattr(command, "TRANSPORT", site())
+    out, failed = str(tmp_path / "laws"), tmp_path / "failed"
+    urls = [f"https://nezams.com/{n}" for n in ("same", "a", "no", "down", "gone")]
+    assert cli("import", "--out", out, "--delay", "0", "--failed", str(failed), *urls[:4:2]) == 1
+    assert [x.split("\t")[1:] for x in failed.read_text().splitlines()] == [[urls[2], f"robots.txt disallows {urls[2]}"]]
+    assert cli("import", "--out", out, "--delay", "0", "--ignore-robots", "--check-updates", "--limit", "3", *urls[:3], urls[4]) == 0
+    said = capsys.readouterr().out
+    assert "بلا تغيير منذ آخر جلب: **1**" in said and "نجح: **2**" in said
+    rows = files.fields(files.read_corpus(spark, out)).collect()
+    assert {r.source_url: r.etag for r in rows} == {u: "e1" for u in urls[:3]}
+
+
+def test_landing_reads_hosts_in_order(spark):
+    from sijill.sources import landing
+
+    links = spark.createDataFrame([(i, f"https://nezams.com/{n}", "e1") for i, n in enumerate(("same", "down", "gone", "a"))], "ord int, url string, etag string")
+    rows = landing.land(links, site(), delay=0, attempts=2, backoff=0).collect()
+    assert [(r.url.rsplit("/", 1)[1], r.status) for r in rows] == [("same", "unchanged"), ("down", "failed"), ("gone", "failed"), ("a", "ok")]
+    assert "no route" in rows[1].reason and "404" in rows[2].reason and rows[3].html and all(r.fetched_at for r in rows)
