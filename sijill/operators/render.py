@@ -68,8 +68,17 @@ def render(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text", F.concat(header(docs), F.lit("\n\n# "), F.col("title"), inner, F.lit("\n")))
 
 
+def _mounted(root: str) -> str:
+    """``root`` as a path of the operating system, which all executors must have in common; another store is refused."""
+    scheme, _, rest = root.rpartition("://") if "://" in root else ("file", "", root.removeprefix("file:"))
+    if scheme != "file":
+        raise ValueError(f"{root}: files are written to a folder that all executors have mounted")
+    return rest
+
+
 def export(rendered: DataFrame, root: str) -> None:
     """Writes path and text as files below ``root``, each replaced in one step, by the tasks that hold them."""
+    root = _mounted(root)
 
     def write(rows) -> None:
         import os
@@ -86,6 +95,7 @@ def export(rendered: DataFrame, root: str) -> None:
 
 def remove(paths: DataFrame, root: str) -> None:
     """Removes the files ``path`` below ``root`` and the folders that this empties, by the tasks that hold them. A file that is gone already is no error."""
+    root = _mounted(root)
 
     def drop(rows) -> None:
         import os

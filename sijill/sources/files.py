@@ -39,14 +39,18 @@ def source_index(corpus: DataFrame) -> DataFrame:
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
-    """ord, url of a list of links; blank lines and comments are left out. ord grows with the file, with gaps.
+    """ord, url of a list of links, or of a folder of lists in the order of their names; blank lines and comments are left out. ord grows along the files, with gaps.
 
-    Lines are numbered within each block of the file that one task reads; no block has
-    more lines than bytes.
+    Lines are numbered within each block that one task reads; no block has more lines than
+    bytes. A file's places begin after the bytes of those before it.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
-    place = 2 * F.col("block") + F.row_number().over(W.partitionBy("block").orderBy("at"))
-    return lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(place.alias("ord"), F.trim("value").alias("url"))
+    read = spark.read.text(path)
+    sizes = read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).distinct()
+    before = sizes.select("file", (F.sum("size").over(W.orderBy("file")) - F.col("size")).alias("before"))  # a row a file
+    lines = read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    numbered = lines.withColumn("nth", F.row_number().over(W.partitionBy("file", "block").orderBy("at"))).join(before, "file")
+    place = 2 * (F.col("before") + F.col("block")) + F.col("nth")
+    return numbered.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(place.alias("ord"), F.trim("value").alias("url"))
 
 
 def read_done(spark: SparkSession, path: str) -> DataFrame:

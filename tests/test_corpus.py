@@ -113,6 +113,25 @@ def test_links_keep_their_order_over_blocks(spark, tmp_path):
     assert [r.url for r in sorted(rows, key=lambda r: r.ord)] == [f"https://x.com/{i}" for i in range(3000)]
 
 
+def test_links_of_a_folder_follow_its_files(spark, tmp_path):
+    (tmp_path / "lists").mkdir()
+    for name in "bac":
+        (tmp_path / "lists" / name).write_text("".join(f"https://x.com/{name}{i}\n" for i in range(1000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows = files.read_links(spark, str(tmp_path / "lists")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({r.ord for r in rows}) == 3000
+    assert [r.url for r in sorted(rows, key=lambda r: r.ord)] == [f"https://x.com/{n}{i}" for n in "abc" for i in range(1000)]
+
+
+def test_files_go_to_mounted_folders_only(spark):
+    with pytest.raises(ValueError):
+        render.export(spark.createDataFrame([("a", "b")], "path string, text string"), "hdfs://host/x")
+    assert render._mounted("file:///a/b") == render._mounted("/a/b") == render._mounted("file:/a/b") == "/a/b"
+
+
 def test_fetcher():
     waits, seen = [], []
 

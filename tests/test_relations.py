@@ -63,6 +63,15 @@ def test_sibling_sets_say_what_the_lists_say(spark):
     assert got == lists and {t for _, t in got.values()} == {True, False}
 
 
+def test_a_title_of_many_files(spark):
+    """100,000 files of one title: no row of the plan holds more than its own file's list."""
+    many = spark.range(100_000).selectExpr("concat('k/', id, '.md') AS path", "'T' AS title", "concat('https://x/', id) AS source_url", "CAST(array() AS array<string>) AS also_available_from")
+    out = corpus.sibling_sets(many)
+    row = out.selectExpr("count(*) AS n", "min(n_siblings) AS least", "count_if(touched) AS touched").first()
+    assert (row.n, row.least, row.touched) == (100_000, 99_999, 100_000)
+    assert "collect_" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_headers_read_little(spark, tmp_path):
     long = "---\ntitle: \"T\"\nsource_url: \"https://x/1\"\nalso_available_from: [\"a, b\"]\n---\n\n" + "نص طويل " * 50_000
     texts = {"k/a.md": long, "k/no.md": "text\n---\n" * 9000, "k/open.md": "---\n" + "".join(f"f{i}: 1\n" for i in range(300)), "d.md": "---\r\ntitle: D\r\n---\r\n", "k/e.md": "", "k/short.md": "---\ntitle: S", "x.txt": "---\n---\n"}
