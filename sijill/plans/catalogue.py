@@ -568,13 +568,23 @@ def render_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.render(docs).select("conv_id", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
-@query(None)
+# The given pages have one article of a heading and paragraphs, some of which nothing closes, among menus, scripts and comments.
+S_PAGE_BLOCKS = r"""a AS (SELECT page_id, html, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1', 1) AS h, string_split_regex(regexp_extract(html, '(?is)<article[^>]*>(.*?)</article', 1), '(?i)<p(\s[^>]*)?>') AS p FROM pages),
+raw AS (SELECT page_id, 0 AS ord, 'h1' AS kind, 'h1' AS tag, h AS t FROM a WHERE regexp_matches(html, '(?i)<h1[\s>]')
+  UNION ALL SELECT page_id, i, 'block', 'p', regexp_extract(p[i + 1], '(?is)^(.*?)(</p|$)', 1) FROM a, unnest(range(1, len(p))) AS u(i)),
+plain AS (SELECT * EXCLUDE (t), regexp_replace(replace(replace(replace(regexp_replace(t, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS t FROM raw),
+block AS (SELECT page_id, ord::INT AS ord, kind, tag, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM plain)"""
+
+
+@query(f"WITH {S_PAGE_BLOCKS} SELECT page_id, ord, kind, tag, false AS in_list, false AS in_table, text FROM block")
 def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "pages").select("page_id", F.posexplode(html.blocks(F.col("html"))).alias("ord", "b"))
     return found.select("page_id", "ord", "b.kind", "b.tag", "b.in_list", "b.in_table", "b.text")
 
 
-@query(None)
+@query(f"""
+WITH {S_PAGE_BLOCKS}
+SELECT page_id::VARCHAR AS url, max(text) FILTER (kind = 'h1') AS title, string_agg(text, chr(10) || chr(10) ORDER BY ord) FILTER (kind = 'block' AND text <> '') AS body, NULL::VARCHAR AS error FROM block GROUP BY page_id""")
 def html_prose_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("url"), "html")
     return parse.headed_documents(pages, "s").select("url", "title", "body", "error")
