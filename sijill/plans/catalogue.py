@@ -413,10 +413,14 @@ def label_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", F.array_join(ordinals.labels_in(F.col("said")), "|").alias("labels"), F.regexp_count("said", F.lit(ordinals.label_pattern())).alias("n"))
 
 
-@query(r"""
-WITH n AS (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[/\\:*?"<>|]', ' ', 'g'), '\s+', ' ', 'g')) AS n FROM documents),
+def s_file_names(of: str) -> str:
+    return rf"""
+WITH n AS (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[/\\:*?"<>|]', ' ', 'g'), '\s+', ' ', 'g')) AS n FROM {of}),
 c AS (SELECT doc_id, trim(left(n, list_max(list_filter(range(0, 201), lambda k: strlen(left(n, k)) <= 200)))) AS c FROM n)
-SELECT doc_id, coalesce(nullif(regexp_replace(c, '^\.*$', ''), ''), 'بدون-عنوان') AS name FROM c""")
+SELECT doc_id, coalesce(nullif(regexp_replace(c, '^\.*$', ''), ''), 'بدون-عنوان') AS name FROM c"""
+
+
+@query(s_file_names("documents"))
 def sanitize_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", paths.file_name(F.col("text")).alias("name"))
 
@@ -437,7 +441,7 @@ def document_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 LONG_TITLES = [(-1 - k, "a" * k + "نظام المرافعات الشرعية ولائحته التنفيذية " * 12) for k in range(4)] + [(-5, "\U0001f600" * 80), (-6, "é" * 100 + "...")]
 
 
-@query(None)
+@query(s_file_names(f"(SELECT doc_id, text FROM documents UNION ALL {expected(LONG_TITLES, 'doc_id, text')})"))
 def sanitize_filename_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of whole texts, with the cut at the limit of bytes that prefixes never reach."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
