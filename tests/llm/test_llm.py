@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sijill.llm import chat, jaccard, mixing, passages, pieces, quality, revisits, toxicity, urlfilter
+from sijill.llm import chat, jaccard, mixing, passages, pieces, quality, revisits, toxicity, urlfilter, wordhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 VOCABULARY = [f"{a}{b}" for a in "bdfgklmnprstvz" for b in ("a", "en", "or", "ist", "ul")]
@@ -385,6 +385,97 @@ def test_op3_removes_short_repeated_lines(spark, tmp_path):
     assert rows == {i: t if i == 0 else t.replace("GPL licence line.\n", "") for i, t in enumerate(texts)}
 
 
+def plain_passages(rows):
+    """The rows' texts after removal, by loops over words: cuts, first owners, runs and offsets; only the order of word hashes is the operator's."""
+    hashes = {}
+
+    def hash_of(word):
+        if word not in hashes:
+            hashes[word] = int(wordhash.words([word], full=True).hash[0])
+        return hashes[word]
+
+    def blended(h, after):
+        return int(wordhash.mixed(np.array([(h + (after << 1)) % 2**64], np.uint64))[0])
+
+    def fold(word):
+        return "".join(c.lower() if len(c.lower()) == 1 else c for c in word)
+
+    def cut_up(text):
+        found = list(re.finditer(r"[^\x20\x09-\x0D]+", text))
+        said, line = [m.group() for m in found], [text.count("\n", 0, m.start()) for m in found]
+        h, n = [hash_of(x) for x in said], len(found)
+        pair = [blended(h[i], h[i + 1]) if i + 1 < n and line[i + 1] == line[i] else h[i] for i in range(n)]
+        capital = [bool(re.match("[A-Z\u00c0-\u00de]", x)) for x in said]
+        starts, inside = [], 0
+        for i in range(n):
+            near = [j for j in range(max(0, i - passages.RADIUS), min(n, i + passages.RADIUS + 1)) if line[j] == line[i]]
+            least = all(pair[i] < pair[j] if j < i else pair[i] <= pair[j] for j in near)
+            own = i == 0 or line[i] != line[i - 1] or said[i - 1][-1] in ".!?" or (capital[i] and not capital[i - 1]) or least
+            inside = 0 if own else inside + 1
+            if inside % passages.LONGEST == 0:
+                starts.append(i)
+        out = []
+        for a, b in zip(starts, [*starts[1:], n][: len(starts)], strict=True):
+            out.append((tuple(map(fold, said[a:b])), line[a], found[a].start(), found[b].start() if b < n else len(text), b - a))
+        return out
+
+    cut = {(d, t): cut_up(t or "") for d, t in rows}
+    rank = lambda d: 2**63 - 1 if d is None else d
+    lines = {at: {no: sum((u[0] for u in own if u[1] == no), ()) for no in {u[1] for u in own}} for at, own in cut.items()}
+    owner = {}
+    for (d, t), own in cut.items():
+        for unit in [*(("piece", u[0]) for u in own), *(("line", x) for x in lines[d, t].values())]:
+            owner[unit] = min(owner.get(unit, 2**63), rank(d))
+    out = {}
+    for (d, t), own in cut.items():
+        seen, gone = set(), set()
+        for no in sorted(lines[d, t]):
+            if owner["line", lines[d, t][no]] < rank(d) or lines[d, t][no] in seen:
+                gone.add(no)
+            seen.add(lines[d, t][no])
+        seen, repeats = set(), []
+        for u in own:
+            repeats.append(owner["piece", u[0]] < rank(d) or u[0] in seen)
+            seen.add(u[0])
+        drop = [False] * len(own)
+        for i in range(len(own)):
+            low, high = i, i
+            while repeats[i] and low > 0 and repeats[low - 1]:
+                low -= 1
+            while repeats[i] and high + 1 < len(own) and repeats[high + 1]:
+                high += 1
+            drop[i] = own[i][1] in gone or (repeats[i] and sum(u[4] for u in own[low : high + 1]) >= 28)
+        left, at = "", 0
+        for u, no_more in zip(own, drop, strict=True):
+            if no_more:
+                left, at = left + t[at : u[2]], u[3]
+        out[d, t] = None if t is None else left + t[at:]
+    return out
+
+
+def test_op3_equals_brute_force_over_pieces_and_lines(spark, tmp_path):
+    """The registered query: passages inside foreign lines, cut edges, repeats within a text, capitals, long lines, ties and null ids."""
+    from sijill.llm.queries import op3_substring_dedup
+
+    rng = random.Random(22)
+    sentence = lambda: prose(rng, rng.randint(3, 14)).capitalize() + rng.choice([".", "!", "?", ","])
+    shared = [" ".join(sentence() for _ in range(rng.randint(2, 9))) for _ in range(8)] + [prose(rng, 200)]
+    texts = []
+    for _ in range(90):
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            passage = rng.choice(shared).split()
+            a = rng.randrange(len(passage))
+            parts.append(rng.choice([sentence(), sentence(), " ".join(passage), " ".join(passage[a : a + 60]), prose(rng, 90), rng.choice(shared).upper()]))
+        texts.append("".join(p + rng.choice([" ", " ", "\n", "\t ", "\n\n"]) for p in parts))
+    rows = [*enumerate([*texts, *ODD]), (None, texts[3]), (None, texts[4] + " x"), (5, texts[5]), (5, texts[6])]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    want = plain_passages(rows)
+    got = op3_substring_dedup(spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(d), str(want[d, t])) for d, t in rows)
+    assert sum(want[r] != r[1] for r in set(rows)) > 60
+
+
 # Toxicity -----------------------------------------------------------------------------
 
 
