@@ -61,6 +61,8 @@ HOT, SMALL = 500, 16
 DEAL = 1000
 #: Rows of a few numbers up to which a table is sent to all tasks, or read by one.
 FEW = 100_000
+#: Pairs whose sets are put together at a time, about.
+PAIRS = 400_000
 
 
 def sets_of(texts: list[str], width: int) -> list[np.ndarray]:
@@ -250,16 +252,40 @@ def _second(regions: DataFrame, first: DataFrame, percent: int) -> DataFrame:
 def _paired(pairs: DataFrame, sets: DataFrame, what, schema: str) -> DataFrame:
     """``what(row, set of a, set of b)`` of each pair of classes a and b, as rows of ``schema``; row has the pair's long columns.
 
-    A class a of many pairs is dealt over as many tasks as they need. A few pairs are sent
-    to the sets, so that only sets in pairs are shuffled. pairs: a kept table.
+    A class a of many pairs is dealt over as many tasks as they need. Pairs are sent to the
+    sets, ``PAIRS`` at a time, so that only sets in pairs are shuffled, and only those of so
+    many pairs lie on disk at once, however many there are. made_of: tables that may go once
+    the result is kept.
     """
+    held_pairs = kept(pairs, "jaccard-pairs")
+    n = held_pairs.count()
+    turns, out, done = max(1, -(-n // PAIRS)), None, [held_pairs]
+    pairs = held_pairs.coalesce(1) if n <= FEW else held_pairs
+    for turn in range(turns):
+        part = _put_together(pairs if turns == 1 else pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(turns)) == turn), sets, what, schema)
+        if turns > 1:
+            part = kept(part, "jaccard-turn")
+            done.append(part)
+            settle(part.sparkSession)
+        out = part if out is None else out.unionByName(part)
+    out.made_of = done
+    return out
+
+
+def _made(paired: DataFrame, name: str) -> DataFrame:
+    """As :func:`_kept`, for what :func:`_paired` returns."""
+    out = _kept(paired, name)
+    discard(*paired.made_of)
+    return out
+
+
+def _put_together(pairs: DataFrame, sets: DataFrame, what, schema: str) -> DataFrame:
     plain = pairs.columns
-    sent = F.broadcast if pairs.count() <= FEW else lambda x: x
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
     deals = F.ceil(F.col("n") / DEAL).cast("int")
     left = pairs.join(many.where(f"n > {DEAL}").select("a", deals.alias("deals")), "a", "left")
-    left = sent(left.withColumn("deal", F.coalesce(F.pmod(F.xxhash64("b"), F.col("deals")).cast("int"), F.lit(0)))).join(sets.select(F.col("class").alias("b"), F.col("set").alias("sb")), "b")
-    right = sent(many.select("a", F.explode(F.sequence(F.lit(0), deals - 1)).alias("deal"))).join(sets.select(F.col("class").alias("a"), F.col("set").alias("sa")), "a")
+    left = F.broadcast(left.withColumn("deal", F.coalesce(F.pmod(F.xxhash64("b"), F.col("deals")).cast("int"), F.lit(0)))).join(sets.select(F.col("class").alias("b"), F.col("set").alias("sb")), "b")
+    right = F.broadcast(many.select("a", F.explode(F.sequence(F.lit(0), deals - 1)).alias("deal"))).join(sets.select(F.col("class").alias("a"), F.col("set").alias("sa")), "a")
     rows = left.join(right, ["a", "deal"]).select(*plain, "sa", "sb")
     names = [f.split(" ")[0] for f in schema.split(", ")]
     n = len(plain)
@@ -395,14 +421,15 @@ def _links(docs: DataFrame, named: DataFrame, width: int, percent: int) -> DataF
     far = (1 - F.col("shared") / F.col("whole")).alias("far")
     size, last = regions.count(), False
     while size:
-        first = _kept(_measured(regions.select("region", F.col("region").alias("a"), F.col("class").alias("b")).where("a <> b"), sets), "measured")
-        second = _kept(_measured(_second(regions, first.select("region", "a", "b", far), percent), sets), "measured")
+        first = _made(_measured(regions.select("region", F.col("region").alias("a"), F.col("class").alias("b")).where("a <> b"), sets), "measured")
+        second = _made(_measured(_second(regions, first.select("region", "a", "b", far), percent), sets), "measured")
         add(first.unionByName(second).where(linked).select("a", "b"))
         settle(docs.sparkSession)
         windows = _kept(_windows(first.unionByName(second).select("region", "a", "b", far), percent), "windows")
         members = windows.select("region", F.col("b").alias("class")).unionByName(windows.select("region", F.col("a").alias("class"))).distinct()
-        rest = _differences(windows.join(_open(_labelled(members, labels)), "region"), sets, percent)
-        rest = _kept(_labelled(rest, labels), "differences")
+        differences = _differences(windows.join(_open(_labelled(members, labels)), "region"), sets, percent)
+        rest = _kept(_labelled(differences, labels), "differences")
+        discard(*differences.made_of)
         settle(docs.sparkSession)
         inner, outer = F.sum("near").alias("inners"), F.sum(1 - F.col("linked")).alias("outers")
         shared = rest.groupBy("region").agg(inner, outer, F.max("home").alias("some"), F.min("component").alias("low"), F.max("component").alias("high"))

@@ -322,6 +322,20 @@ def test_jaccard_in_hot_regions(spark, monkeypatch):
     assert sorted((str(r.id), str(r.component)) for r in jaccard.join(same, 4, 85).collect()) == [("5", "5"), ("7", "7"), ("7", "7"), ("9", "7"), ("None", "5"), ("None", "5"), ("None", "None")]
 
 
+def test_jaccard_in_turns(spark, monkeypatch):
+    """Pairs that are put together a few at a time give the same components, and no turn has more of them than it should."""
+    rng = random.Random(8)
+    base = [" ".join(rng.choices("abcdefghij", k=40)) for _ in range(12)]
+    texts = [b + f" x{i}" for b in base for i in range(8)]
+    monkeypatch.setattr(jaccard, "PAIRS", 20)
+    seen, plain = [], jaccard._put_together
+    monkeypatch.setattr(jaccard, "_put_together", lambda pairs, *rest: seen.append(pairs.count()) or plain(pairs, *rest))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r.id: (r.n, r.component) for r in jaccard.join(df, 3, 80).collect()}
+    assert got == brute_components(list(range(len(texts))), texts, 3, 80)
+    assert len(seen) > 4 and 0 < max(seen) < 60
+
+
 def test_jaccard_empty(spark):
     assert jaccard.join(spark.createDataFrame([], "id long, text string")).count() == 0
 

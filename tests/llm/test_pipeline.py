@@ -67,3 +67,19 @@ def test_units_do_not_depend_on_neighbours():
             own = among["text"] == 1
             names = [c for c in alone if c != "text"]
             assert sorted(zip(*(alone[c].tolist() for c in names), strict=True)) == sorted(zip(*(among[c][own].tolist() for c in names), strict=True))
+
+
+def test_quality_rules_leave_no_texts_behind(spark, monkeypatch):
+    """What the stage keeps beside its result lies on disk during all later stages."""
+    from sijill.llm import quality
+
+    kept = []
+    for module in (corpus_pipeline, quality):
+        plain = module.kept
+        monkeypatch.setattr(module, "kept", lambda df, name, plain=plain: kept.append(df.columns) or plain(df, name))
+    docs = table(spark, [(i, " ".join(f"word{(i * j) % 97}" for j in range(80)), "s") for i in range(60)])
+    got = corpus_pipeline.quality_rules(spark, docs, "")
+    assert kept and not any("text" in c for c in kept)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # texts are counted once more, not once a filter
+    assert got.count() == len(got.select("doc_id").distinct().collect()) > 0
