@@ -10,6 +10,7 @@ from ..functions.ordinals import parse_label
 from ..functions.text import SPACE, clean_line, let, present, squeeze, strip, strip_cms_label
 from ..sources.html import HEADINGS, blocks
 from ..sources.registry import Source
+from ..sources.tables import bound_batches
 
 # Clause names by rank, line patterns, labels of a details table.
 CLAUSES = ("أولا", "ثانيا", "ثالثا", "رابعا", "خامسا", "سادسا", "سابعا", "ثامنا", "تاسعا", "عاشرا")
@@ -64,6 +65,7 @@ def markdown_prose(found: Column, skip: Column) -> Column:
 
 def _read(pages: DataFrame) -> DataFrame:
     """url, found (blocks): one call of the tokenizer a page."""
+    bound_batches(pages.sparkSession)
     return pages.select("url", blocks(F.col("html")).alias("found"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, frontmatter, ordinals, paths, text, urls
 from ..operators import corpus, parse, quality, render, report
-from ..sources import files, html, registry, robots, sitemap
+from ..sources import files, html, registry, robots, sitemap, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -582,6 +582,7 @@ block AS (SELECT page_id, ord::INT AS ord, kind, tag, trim(regexp_replace(t, '\s
 
 @query(f"WITH {S_PAGE_BLOCKS} SELECT page_id, ord, kind, tag, false AS in_list, false AS in_table, text FROM block")
 def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables.bound_batches(spark)
     found = table(spark, sf_dir, "pages").select("page_id", F.posexplode(html.blocks(F.col("html"))).alias("ord", "b"))
     return found.select("page_id", "ord", "b.kind", "b.tag", "b.in_list", "b.in_table", "b.text")
 

@@ -1,9 +1,12 @@
 """Pages whose documents are known, and maps with all that is passed over."""
 
+import gc
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sijill.operators import parse
-from sijill.sources import sitemap
+from sijill.sources import html, sitemap
 
 MAPS = [
     ("https://a.example/index.xml", "<sitemapindex><loc> https://a.example/post.xml </loc><loc>https://a.example/category.xml</loc><loc>https://a.example/nezam_update.xml</loc><loc>https://b.test/post.xml</loc><loc>https://a.example/gone.xml</loc></sitemapindex>"),
@@ -42,3 +45,29 @@ def test_listed(spark):
     past = "تم بموجب المرسوم الملكي رقم م/2 تعديل هذه المادة لتكون بالنص الآتي:"
     assert (d.issued_by, d.amendments) == ("مرسوم؛ م/1", ["أ", "ب"])
     assert [(a.number, a.number_int, a.is_bis, a.text, a.amendment_history) for a in d.articles] == [("الأولى", 1, False, "نص\n\nثان", []), ("التاسعة والسبعون مكرر", 79, True, "«يعاقب»", [past])]
+
+
+def test_pages_are_read_a_few_at_a_time(spark, monkeypatch):
+    """Blocks go on before a batch of pages is through, pages keep their blocks, and no tree waits for the collector."""
+    monkeypatch.setattr(html, "STEP", 5000)
+    pages = [f"<h1>t{i}</h1><p>x{i}</p>" if i % 5 else None for i in range(40)]
+    taken = []
+    read = html.read_blocks
+    monkeypatch.setattr(html, "read_blocks", lambda page: taken.append(page) or read(page))
+    sizes, waiting = [], []
+    for part in html._run(iter([pa.array(pages), pa.array(pages[:3])])):
+        sizes.append(len(part))
+        waiting.append(len(taken) - sum(sizes))
+    assert sum(sizes) == 43 and max(sizes) <= 5 and max(waiting) == 0
+    gc.collect()
+    gc.disable()
+    try:
+        read("<div><p>a<b>b</b></p></div>" * 50)
+        assert not [o for o in gc.get_objects() if isinstance(o, html.Node)]
+    finally:
+        gc.enable()
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string").repartition(3)
+    got = {r.i: [b.text for b in r.b] for r in df.select("i", html.blocks(F.col("html")).alias("b")).collect()}
+    assert got == {i: [f"t{i}", f"x{i}"] if i % 5 else [] for i in range(40)}
+    parse.headed_documents(df.selectExpr("string(i) AS url", "html"), "s").count()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 500
