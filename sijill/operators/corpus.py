@@ -18,6 +18,8 @@ from .parse import CLAUSES
 
 ARTICLE_HEADING = r"(?md)^#{2,3}[ \t]*المادة\s"
 CLAUSE_HEADING = rf"(?md)^#{{2,3}}[ \t]*(?:{'|'.join(CLAUSES)})ً?[ \t]*$"
+#: Files of a title that one task lists, about.
+DEAL = 200
 # Fixed value: why a text isn't merged.
 WORSE = "ناتج نثري بلا مواد سيطمس ملفًا قائمًا يحوي مواد (يُحتمل تغيّر بنية المصدر)"
 
@@ -186,13 +188,18 @@ def duplicate_groups(files: DataFrame) -> DataFrame:
 def siblings(files: DataFrame) -> DataFrame:
     """path, title, siblings (canonical URLs of the other files of the title, sorted), touched (the stored list differs).
 
-    files: path, title, source_url, also_available_from. Sets are gathered once a title,
-    so there is no pair of files in the plan.
+    files: path, title, source_url, also_available_from. Sets are gathered and sorted once a
+    title, so there is no pair of files in the plan; a file's list is its title's without
+    its own URL. Files of a hot title are dealt over tasks, ``DEAL`` a task, each with a copy
+    of the title's list: the lists themselves are as long as a title has URLs.
     """
     own = files.where(F.col("title").isNotNull()).withColumn("url", canonical_url(F.col("source_url")))
-    sets = own.groupBy("title").agg(F.count("*").alias("n"), F.collect_set("url").alias("urls")).where("n > 1").select("title", "urls")
-    others = F.array_sort(F.filter(F.array_except("urls", F.array("url")), lambda u: u != ""))
-    return own.join(sets, "title").select("path", "title", "url", others.alias("siblings"), (~others.eqNullSafe(F.col("also_available_from"))).alias("touched"))
+    sets = own.groupBy("title").agg(F.count("*").alias("n"), F.array_sort(F.filter(F.collect_set("url"), lambda u: u != "")).alias("urls")).where("n > 1")
+    hot = own.groupBy("title").agg(F.ceil(F.count("*") / DEAL).cast("int").alias("deals")).where("deals > 1")
+    dealt = own.join(hot, "title", "left").withColumn("deal", F.coalesce(F.pmod(F.xxhash64("path"), F.col("deals")).cast("int"), F.lit(0)))
+    copies = sets.select("title", "urls", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / DEAL).cast("int") - 1)).alias("deal"))
+    others = F.filter("urls", lambda u: ~u.eqNullSafe(F.col("url")))
+    return dealt.join(copies, ["title", "deal"]).select("path", "title", "url", others.alias("siblings"), (~others.eqNullSafe(F.col("also_available_from"))).alias("touched"))
 
 
 def sibling_sets(files: DataFrame) -> DataFrame:

@@ -122,3 +122,17 @@ def test_a_file_is_cut_as_its_parts_say(spark, text):
     row = spark.range(1).select(cut(t).alias("c"), header(t).alias("h"), body(t).alias("b")).first()
     assert (row.c.header, row.c.body) == (row.h, row.b)
     assert quality.lint(spark.createDataFrame([("k/a.md", text)], "path string, text string")).count() >= 0
+
+
+def test_files_of_a_hot_title_are_dealt(spark, monkeypatch):
+    """Lists of a title's files, over several tasks: each file once, with all other URLs in order, repeated ones once."""
+    monkeypatch.setattr(corpus, "DEAL", 7)
+    rows = [(f"p{i}", "hot" if i < 50 else f"own{i}", None if i in (3, 4) else f"https://x/{i // 2 * 2 if i < 10 else i}", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "path string, title string, source_url string, also_available_from array<string>")
+    out = corpus.siblings(df)
+    assert "array_except" not in out._jdf.queryExecution().optimizedPlan().toString()  # lists are sorted and compared once a title, not once a file
+    got = {r.path: (r.siblings, r.touched) for r in out.collect()}
+    urls = {f"p{i}": u for i, (_, _, u, _) in enumerate(rows)}
+    every = {urls[f"p{i}"] for i in range(50)} - {None}
+    assert got == {f"p{i}": (sorted(every - {urls[f"p{i}"]}), True) for i in range(50)}
+    assert out.count() == 50
