@@ -129,43 +129,50 @@ def units(docs: DataFrame, among=None, lines: bool = False) -> DataFrame:
     return docs.select("key", "rank", "text").mapInArrow(run, "key long, rank long, digest long, number int, begin int, following int, n_words int, pieces int, again boolean")
 
 
+def digests(docs: DataFrame, lines: bool = False) -> DataFrame:
+    """rank, digest: each digest of a document once. docs: rank, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ranks = b.column(0).to_numpy(zero_copy_only=False)
+            for at, part in in_steps(b.column(1)):
+                u = units_of(part, lines)
+                once = ~u["again"].astype(bool)
+                yield pa.RecordBatch.from_arrays([pa.array(ranks[u["text"][once] + at], pa.int64()), pa.array(u["digest"][once], pa.int64())], names=["rank", "digest"])
+
+    return docs.select("rank", "text").mapInArrow(run, "rank long, digest long")
+
+
 def _cuts(least: int):
     kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("n_words", pa.int32())]))
 
     def run(rows: pa.Array) -> pa.Array:
-        out = []
-        for found in rows.to_pylist():
-            gone = {n for u in found for n in range(u["number"], u["number"] + u["pieces"])}
-            runs: list[list] = []
-            number = -2
-            for u in sorted((u for u in found if not u["pieces"]), key=lambda u: u["number"]):
-                if u["number"] == number:  # repeated rows of a document
-                    continue
-                if u["number"] != number + 1:
-                    runs.append([])
-                number = u["number"]
-                runs[-1].append(u)
-            cuts: list[list[int]] = []
-            number = -2
-            for own in runs:
-                long = sum(u["n_words"] for u in own) >= least
-                for u in own:
-                    if not (long or u["number"] in gone):
-                        continue
-                    if u["number"] != number + 1:
-                        cuts.append([u["begin"], 0, 0])
-                    number = u["number"]
-                    cuts[-1][1] = u["following"]
-                    cuts[-1][2] += u["n_words"]
-            out.append([{"begin": b, "end": e, "n_words": n} for b, e, n in cuts])
-        return pa.array(out, kind)
+        number, begin, following, n_words, pieces = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in rows.flatten().flatten())
+        row = np.repeat(np.arange(len(rows)), np.diff(rows.offsets.to_numpy()))
+        key = row * int((number + pieces).max(initial=0) + 2) + number  # pieces of two texts never follow one another
+        line = np.flatnonzero(pieces)
+        line = line[np.argsort(key[line])]
+        own = np.flatnonzero(pieces == 0)
+        key_of, first = np.unique(key[own], return_index=True)  # repeated rows of a document
+        own = own[first]
+        at = np.searchsorted(key[line], key_of, "right") - 1
+        gone = (at >= 0) & (key_of < (key[line] + pieces[line])[at]) if len(line) else np.zeros(len(own), bool)
+        new = np.append(True, np.diff(key_of) != 1)[: len(own)]
+        sums = np.add.reduceat(n_words[own], np.flatnonzero(new)) if len(own) else n_words[own]
+        cut = gone | (sums[np.cumsum(new) - 1] >= least)
+        own, key_of = own[cut], key_of[cut]
+        start = np.flatnonzero(np.append(True, np.diff(key_of) != 1)[: len(own)])
+        last = np.append(start[1:], len(own))[: len(start)].astype(np.int64) - 1
+        ints = [begin[own[start]], following[own[last]], np.add.reduceat(n_words[own], start) if len(own) else n_words[own]]
+        upto = np.searchsorted(row[own[start]], np.arange(len(rows) + 1))
+        return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.StructArray.from_arrays([pa.array(x, pa.int32()) for x in ints], fields=list(kind.value_type)))
 
     return F.arrow_udf(run, "array<struct<begin:int,end:int,n_words:int>>")  # type: ignore[call-overload]
 
 
 def repeated(docs: DataFrame, least: int = 28, lines: bool = False) -> DataFrame:
     """key, cuts: the spans to remove from the documents that have any. docs: key, rank, text."""
-    first = units(docs, lines=lines).groupBy("digest").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last")
+    first = digests(docs, lines).groupBy("digest").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last")
     first = kept(first.select("digest", "first"), "passages-first")
     settle(docs.sparkSession)
     own = units(docs, docs.sparkSession.sparkContext.broadcast(table(first.select("digest"))), lines)

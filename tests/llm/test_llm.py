@@ -399,6 +399,17 @@ def test_op3_removes_short_repeated_lines(spark, tmp_path):
     assert rows == {i: t if i == 0 else t.replace("GPL licence line.\n", "") for i, t in enumerate(texts)}
 
 
+def test_first_pass_sends_each_digest_of_a_text_once(spark):
+    """Repeats within a text and places are left where they are; null ids and texts too."""
+    rows = [(1, "One line here.\n" * 50), (2, "One line here.\nAnother one."), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "rank long, text string")
+    for lines in (False, True):
+        found = passages.digests(df, lines)
+        assert found.columns == ["rank", "digest"]
+        got = sorted((r.rank, r.digest) for r in found.collect())
+        assert got == sorted({(rank, int(d)) for rank, text in rows for d in passages.units_of([text or ""], lines)["digest"]})
+
+
 def plain_passages(rows):
     """The rows' texts after removal, by loops over words: cuts, first owners, runs and offsets; only the order of word hashes is the operator's."""
     hashes = {}
