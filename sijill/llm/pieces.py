@@ -27,11 +27,9 @@ table gives an empty table.
 import hashlib
 import re
 from collections.abc import Iterator
-from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,16 +108,8 @@ def chunk_table(texts: DataFrame, model, most: int = TABLE) -> DataFrame:
     return chosen.select("word").mapInArrow(run, "chunk string, ids binary")
 
 
-#: The worker's own encoder, kept over batches and tasks for as long as the worker holds the table that was sent:
-#: a worker lives on for other steps' tasks, and drops what they don't read.
-_own: WeakKeyDictionary[Broadcast, Encoder] = WeakKeyDictionary()
-
-
-def _encoder(model: Broadcast, sent: Broadcast) -> Encoder:
-    if sent not in _own:
-        held = pa.ipc.open_stream(sent.value).read_all()
-        _own[sent] = Encoder(model.value, dict(zip(held.column("chunk").to_pylist(), held.column("ids").to_pylist(), strict=True)))
-    return _own[sent]
+#: The worker's own encoder, kept over batches and tasks of one call of :func:`encode`.
+_own: dict[str, Encoder] = {}
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -137,6 +127,14 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep_ids: bool
         with pa.ipc.new_stream(sink, table.schema) as out:
             out.write_table(table)
         sent = context.broadcast(sink.getvalue().to_pybytes())
+    key = hashlib.sha256(data + sent.value).hexdigest()
+
+    def encoder() -> Encoder:
+        if key not in _own:
+            _own.clear()
+            held = pa.ipc.open_stream(sent.value).read_all()
+            _own[key] = Encoder(model.value, dict(zip(held.column("chunk").to_pylist(), held.column("ids").to_pylist(), strict=True)))
+        return _own[key]
 
     results = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids
     rest = others(docs, text, *results)
@@ -144,7 +142,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep_ids: bool
     schema = T.StructType([docs.schema[c] for c in rest] + [T.StructField(c, t) for c, t in zip(results, types, strict=False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(model, sent)
+        enc = encoder()
         for b in batches:
             for at, part in in_steps(b.column(len(rest))):
                 first = [i for i in range(len(part)) if not i or part[i] != part[i - 1]]
