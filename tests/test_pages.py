@@ -3,9 +3,11 @@
 import gc
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from sijill.operators import parse
+from sijill.plans import catalogue
 from sijill.sources import html, sitemap
 
 MAPS = [
@@ -71,3 +73,24 @@ def test_pages_are_read_a_few_at_a_time(spark, monkeypatch):
     assert got == {i: [f"t{i}", f"x{i}"] if i % 5 else [] for i in range(40)}
     parse.headed_documents(df.selectExpr("string(i) AS url", "html"), "s").count()
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 500
+
+
+#: What a title or paragraph may end in when it is cut inside a character's name.
+CUT = ["&quot", "&quo", "&lt", "&gt", "&amp", "&am", "&", "&quot; &lt;b&gt;", "&amp;quot", "&ampquot;", "&amp;quot;", "&quotx;", "&ltx", "?a=1&copy=2", "&lt&gt;"]
+
+
+def cut_pages(spark, tmp_path):
+    """Pages of texts that are cut inside a reference, and those of ``S_PAGE_BLOCKS`` in DuckDB."""
+    duckdb = pytest.importorskip("duckdb")
+    rows = [(i, f"https://x.test/{i}", f"<html><h1>a {x}</h1><article><p>b {x}<p>c {x} d</p></article></html>") for i, x in enumerate(CUT)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    return lambda name: duck.sql(catalogue.SQL[name]).fetchall()
+
+
+def test_blocks_of_cut_references_equal_their_sql(spark, tmp_path):
+    want = cut_pages(spark, tmp_path)("html_blocks")
+    got = [tuple(r) for r in catalogue.QUERIES["html_blocks"](spark, str(tmp_path)).collect()]
+    assert len(want) == 3 * len(CUT) and sorted(got) == sorted(want)
+    assert html.read_blocks("<p>&nbsp;&eacute;&#233;&#xe9;&ltimes; &eacute</p>")[0]["text"] == "\xe9\xe9\xe9\u22c9 &eacute"
