@@ -94,3 +94,9 @@ def test_blocks_of_cut_references_equal_their_sql(spark, tmp_path):
     got = [tuple(r) for r in catalogue.QUERIES["html_blocks"](spark, str(tmp_path)).collect()]
     assert len(want) == 3 * len(CUT) and sorted(got) == sorted(want)
     assert html.read_blocks("<p>&nbsp;&eacute;&#233;&#xe9;&ltimes; &eacute</p>")[0]["text"] == "\xe9\xe9\xe9\u22c9 &eacute"
+
+
+def test_prose_of_cut_references_equals_its_sql(spark, tmp_path):
+    want = cut_pages(spark, tmp_path)("html_prose_body")
+    got = [tuple(r) for r in catalogue.QUERIES["html_prose_body"](spark, str(tmp_path)).collect()]
+    assert len(want) == len(CUT) and sorted(got, key=repr) == sorted(want, key=repr)
