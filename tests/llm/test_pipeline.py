@@ -2,9 +2,13 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+
+from sijill.llm import common
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -94,3 +98,23 @@ def test_cuts_are_made_once(spark):
     cuts = passages.repeated(docs, lines=True)
     assert cuts._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     assert {r.key: [line + "\n"] == [f"{line}\nword"[c.begin : c.end] for c in r.cuts] for r in cuts.collect()} == dict.fromkeys(range(1, 9), True)
+
+
+def test_shuffle_files_go_with_the_step_that_needed_them(spark):
+    """Not when the driver collects its garbage: until then those of several steps would lie on disk together."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def lying():
+        files = disk.getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_") and name.endswith(".data")}
+
+    df = spark.range(20_000).select(F.xxhash64("id").alias("a")).groupBy("a").count()
+    set_before, before = spark.conf.get(common.CLEAN_KEY), lying()
+    out = common.kept(df.join(df.withColumnRenamed("count", "n"), "a"), "shuffled")
+    until = time.time() + 10
+    while lying() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not lying() - before
+    assert out.count() == 20_000 and df.count() == 20_000
+    assert spark.conf.get(common.CLEAN_KEY) == set_before
+    common.discard(out)
